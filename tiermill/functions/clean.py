@@ -113,7 +113,7 @@ def parse_hours(c: Column | str, days: Mapping[str, str] = DAY_CODES) -> dict[st
     col = as_col(c)
     out: dict[str, Column] = {}
     for day, code in days.items():
-        pattern = F.lit(rf"{code}: (?:Closed|({CLOCK})-({CLOCK}))")
+        pattern = rf"{code}: (?:Closed|({CLOCK})-({CLOCK}))"
         closed = F.regexp_extract(col, pattern, 0).endswith("Closed")
         for group, part in ((1, "Open"), (2, "Close")):
             found = F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+
+
+def _two_digit_year(parsed: str) -> str:
+    """Two-digit years from 69 on belong to the 1900s."""
+    return f"if({parsed} >= DATE'2069-01-01', add_months({parsed}, -1200), {parsed})"
+
+
+_SHORT = "CAST(try_to_timestamp(substr(x, 1, 15), 'M/d/yy H:mm') AS DATE)"
+
 # Function names and date formats that metric catalogues rely on.
 SQL_FUNCTIONS = {
     "getDateS": ("STRING", "DATE", "try_to_date(x, 'M/d/yyyy')"),
-    "getDateH": ("STRING", "DATE", "try_to_date(x, 'M-d-yy')"),
+    "getDateH": ("STRING", "DATE", _two_digit_year("try_to_date(x, 'M-d-yy')")),
     "doubleToInt": ("DOUBLE", "INT", "try_cast(x AS INT)"),
     "getOnlyDate": (
         "STRING",
@@ -22,7 +31,7 @@ SQL_FUNCTIONS = {
     "getOnlyDate2": (
         "STRING",
         "STRING",
-        "date_format(try_to_timestamp(substr(x, 1, 15), 'M/d/yy H:mm'), 'MM/dd/yyyy')",
+        f"date_format({_two_digit_year(_SHORT)}, 'MM/dd/yyyy')",
     ),
 }
 

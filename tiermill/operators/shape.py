@@ -68,7 +68,7 @@ def explode_list(
 
     def key(item: Column) -> Column:
         token = F.get(F.split(F.trim(item), " "), F.lit(0))
-        return F.regexp_extract(token, F.lit(key_pattern), 0).try_cast("int")
+        return F.regexp_extract(token, key_pattern, 0).try_cast("int")
 
     empty = F.array().cast("array<string>")
     items = F.coalesce(F.split(as_col(col), r"\Q" + sep + r"\E"), empty)

@@ -76,9 +76,11 @@ def tidy(df: DataFrame, spec: FeedSpec) -> DataFrame:
     return df.withColumnsRenamed(dict(spec.columns))
 
 
-def with_file_date(df: DataFrame, pattern: str, date_format: str, name: str = "reportdate") -> DataFrame:
-    """Date found in the name of the file a row came from; null when the name carries none."""
-    text = F.regexp_extract(F.col("_metadata.file_name"), F.lit(pattern), 1)
+def with_file_date(
+    df: DataFrame, pattern: str, date_format: str, name: str = "reportdate", source: str = "file_name"
+) -> DataFrame:
+    """Date found in the name (or ``file_path``) of the file a row came from; null when it carries none."""
+    text = F.regexp_extract(f"_metadata.{source}", pattern, 1)
     return df.withColumn(name, F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(date_format)).cast("date"))
 
 
@@ -136,25 +138,24 @@ def clean_names(
 
 def read_report(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     names: Sequence[str],
-    header_lines: int = 1,
+    head: Sequence[Sequence[str]],
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A report whose header is not in the first line.
+    """A report whose header is not in the first line; all cells are text.
 
-    All cells are text.  The first ``header_lines`` lines are dropped wherever they occur, so repeated headers
-    disappear too, and so do blank lines.  The match is on content and works on split files.
+    ``head`` are the title and header lines (:func:`first_lines`).  They are dropped wherever they occur, so repeated
+    headers disappear too, and so do blank lines.  The match is on content and works on split files.
     """
     reader = spark.read.options(**CSV_OPTIONS).options(**(options or {})).schema(text_schema(names))
     df = reader.option("header", False).csv(path)
-    joined = F.concat_ws("\u0001", *[F.coalesce(F.trim(as_col(n)), F.lit("")) for n in names])
-    blank = "\u0001" * (len(names) - 1)
-    head = {
-        "\u0001".join([c.strip() for c in (cells + [""] * len(names))[: len(names)]])
-        for cells in first_lines(spark, path, header_lines)
+    mark, width = "\u0001", len(names)
+    joined = F.concat_ws(mark, *[F.coalesce(F.trim(as_col(n)), F.lit("")) for n in names])
+    drop = {mark * (width - 1)} | {
+        mark.join([c.strip() for c in [*cells, *[""] * width][:width]]) for cells in head
     }
-    return df.filter(~joined.isin([blank, *sorted(head - {blank})]))
+    return df.filter(~joined.isin(sorted(drop)))
 
 
 def is_empty_feed(df: DataFrame, minimum: int = 1) -> bool:

@@ -61,14 +61,26 @@ class Snapshots:
         return current, previous
 
     def history(self) -> DataFrame:
-        """All committed snapshots with ``year``, ``month`` and ``snapshot_id`` as partition columns."""
-        return self.spark.read.option("basePath", f"{self.root}/history").parquet(f"{self.root}/history")
+        """All committed snapshots with ``year``, ``month`` and ``snapshot_id`` as partition columns.
+
+        The log restricts the scan to committed folders by partition pruning.
+        """
+        spark = self.spark
+        rows = spark.read.option("basePath", f"{self.root}/history").parquet(f"{self.root}/history")
+        rows = rows.withColumn("snapshot_id", F.col("snapshot_id").cast("string"))
+        log = spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/log").select("snapshot_id")
+        return rows.join(log, "snapshot_id", "left_semi")
 
     def write(self, df: DataFrame, snapshot_id: str, run_date: date, current_copy: bool = True) -> DataFrame:
         """Commit ``df`` as a snapshot and return it as stored.
 
         Ids must grow from run to run.  The plan of ``df`` runs once; the current copy is made from the stored files.
         """
+        folder, stored = self._store(df, snapshot_id, run_date)
+        self._commit(folder, stored, snapshot_id, run_date, current_copy)
+        return stored
+
+    def _store(self, df: DataFrame, snapshot_id: str, run_date: date) -> tuple[str, DataFrame]:
         if not re.fullmatch(r"[0-9A-Za-z_.-]+", snapshot_id):
             raise ValueError(f"snapshot id {snapshot_id!r} is not a plain name")
         newest = self.ids(1)
@@ -76,12 +88,15 @@ class Snapshots:
             raise ValueError(f"snapshot id {snapshot_id!r} is older than {newest[0]!r}")
         folder = f"history/year={run_date:%Y}/month={run_date:%m}/snapshot_id={snapshot_id}"
         df.write.mode("overwrite").parquet(f"{self.root}/{folder}")
-        stored = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
+        return folder, self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
+
+    def _commit(
+        self, folder: str, stored: DataFrame, snapshot_id: str, run_date: date, current_copy: bool
+    ) -> None:
         if current_copy:
             stored.write.mode("overwrite").parquet(self.current_path)
         entry = self.spark.createDataFrame([(folder, run_date)], "folder string, run_date date")
         entry.write.mode("overwrite").json(f"{self.root}/log/snapshot_id={snapshot_id}")
-        return stored
 
     def write_if_changed(
         self,
@@ -93,12 +108,16 @@ class Snapshots:
     ) -> bool:
         """Commit only when a row is new, changed or gone compared with the latest snapshot.
 
-        The first differing row ends the check.  Without a difference nothing is written and the current copy stays.
+        ``df`` is computed once: its files are stored first and compared from there.  Without a difference they are
+        replaced by an empty folder that is never committed, and the current copy stays.
         """
+        committed = self.ids(1)
         previous = self.latest()
-        if previous is not None:
-            changes = classify_changes(previous, df, keys, deletes=True)
+        folder, stored = self._store(df, snapshot_id, run_date)
+        if previous is not None and committed[0] != snapshot_id:
+            changes = classify_changes(previous, stored, keys, deletes=True)
             if changes.filter(F.col("change") != "U").isEmpty():
+                self.spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{self.root}/{folder}")
                 return False
-        self.write(df, snapshot_id, run_date, current_copy)
+        self._commit(folder, stored, snapshot_id, run_date, current_copy)
         return True
