@@ -757,14 +757,14 @@ def split_on_marker(spark, t):
     """
 WITH h AS (SELECT o_orderkey, CAST(o_orderkey % 12 + 1 AS VARCHAR) AS h, o_orderstatus AS s FROM orders)
 SELECT o_orderkey, h || ':00 AM' AS "MondayOpenTime", h || ':30 PM' AS "MondayCloseTime",
-  CASE s WHEN 'F' THEN '00:00 AM' WHEN 'O' THEN '09:15 am' END AS "SundayOpenTime",
-  CASE s WHEN 'F' THEN '00:00 AM' WHEN 'O' THEN '5:45 pm' END AS "SundayCloseTime" FROM h
+  CASE s WHEN 'F' THEN '00:00 AM' WHEN 'O' THEN '09:15 Am' END AS "SundayOpenTime",
+  CASE s WHEN 'F' THEN '00:00 AM' WHEN 'O' THEN '5:45 Pm' END AS "SundayCloseTime" FROM h
 """,
 )
 def parse_hours(spark, t):
     """Opening hours written per order: Monday open, Sunday closed, open or missing."""
     hour = (F.col("o_orderkey") % 12 + 1).cast("string")
-    sunday = F.when(F.col("o_orderstatus") == "F", "; U: Closed").when(F.col("o_orderstatus") == "O", "; U: 09:15 am-5:45 pm")
+    sunday = F.when(F.col("o_orderstatus") == "F", "; U: Closed").when(F.col("o_orderstatus") == "O", "; U: 09:15 Am-5:45 Pm")
     text = F.concat(F.lit("Hours M: "), hour, F.lit(":00 AM-"), hour, F.lit(":30 PM"), F.coalesce(sunday, F.lit("")))
     hours = fn.parse_hours(text, {d: fn.DAY_CODES[d] for d in ("Monday", "Sunday")})
     return t("orders").select("o_orderkey", *[c.alias(n) for n, c in hours.items()])
