@@ -29,7 +29,7 @@ from .shape import (
     explode_list,
     unpivot_measures,
 )
-from .conform import (
+from .conforming import (
     Lookup,
     active_bridge,
     bridge_lookup,

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .conform import role_lookup
+from .conforming import role_lookup
 
 SEPARATOR = "|"
 

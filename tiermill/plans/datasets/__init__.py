@@ -1,6 +1,7 @@
 """The 26 datasets: feed specifications, refine steps and delivery columns, composed from the operators."""
 
 from . import dealer, goals, kpi, people, product, reports, sales, store
+from ..metrics import publish_catalog
 from .site import Site, squash
 
 # Dataset -> (ingest, refine, deliver); None where the dataset has no such step.
@@ -33,7 +34,7 @@ DATASETS = {
         reports.EMPLOYEE_ADJUSTMENT_DELIVERY,
     ),
     "store_adjustments": (reports.MISC_FEED, reports.refine_store_adjustments, reports.STORE_ADJUSTMENT_DELIVERY),
-    "metric_catalog": (None, None, None),
+    "metric_catalog": (None, None, publish_catalog),
     "sales_kpis": (None, kpi.sales_kpis, kpi.store_kpis),
 }
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import clean as fn
-from ...operators import cdc, conform, dedup, quality, shape
+from ...operators import cdc, dedup, quality, shape
+from ...operators import conforming as conform
 from ...sources.feeds import FeedSpec
 from .site import Site, squash
 

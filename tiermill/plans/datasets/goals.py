@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import clean as fn
-from ...operators import conform, dedup, quality, shape
+from ...operators import dedup, quality, shape
+from ...operators import conforming as conform
 from ...operators import goals as allocation
 from ...sources.feeds import FeedSpec, with_run_date
 from .site import Site

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import clean as fn
-from ...operators import conform, dedup, quality
+from ...operators import dedup, quality
+from ...operators import conforming as conform
 from ...sources.feeds import FeedSpec, cast_columns, with_run_date
 from .site import Site, squash
 

@@ -15,7 +15,7 @@ _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``path, file_name, size, modified`` of every file below ``path``."""
+    """``path, file_name, size, modified`` of every file below ``path``; Spark's file sources skip empty files."""
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     return df.select(
@@ -50,7 +50,7 @@ def file_headers(spark: SparkSession, path: str | Sequence[str], line: int = 0)
 
 
 def file_inventory(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Size, modification time and header columns of each file; ``columns`` is null for an empty file."""
+    """Size, modification time and header columns of each file."""
     files = list_files(spark, path).withColumn("__key", _path_key(F.col("path")))
     heads = file_headers(spark, path).select(_path_key(F.col("path")).alias("__key"), "columns")
     return files.join(heads, "__key", "left").drop("__key")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.conform import project
+from ..operators.conforming import project
 from ..plans.staging import stage
 
 
