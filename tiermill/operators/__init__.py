@@ -6,6 +6,7 @@ from .quality import (
     not_like,
     numeric,
     quarantine,
+    quarantine_files,
     required,
     split_valid,
     tag_failures,

@@ -76,6 +76,12 @@ def quarantine(bad: DataFrame, root: str, dataset: str, run_id: str) -> None:
     rows.write.mode("append").option("header", True).csv(f"{root.rstrip('/')}/{dataset}")
 
 
+def quarantine_files(verdicts: DataFrame, root: str, dataset: str, run_id: str) -> None:
+    """Append the rejected files of a verdict table (``path, file_name, reasons, ok``) as JSON below ``root``."""
+    rejected = verdicts.filter(~F.col("ok")).drop("ok").withColumn("run_id", F.lit(run_id))
+    rejected.write.mode("append").json(f"{root.rstrip('/')}/{dataset}_files")
+
+
 def error_summary(errors: DataFrame) -> DataFrame:
     """Rows per dataset and rule plus the newest run.
 

@@ -208,9 +208,15 @@ class MetricEngine:
 
     def run(self) -> DataFrame:
         """The long metric table; null values are dropped."""
+        with _temp_views(self.spark, [*self.sources, *{a for m in self.catalog for _, a in m.depends}]):
+            return self._run()
+
+    def _run(self) -> DataFrame:
         needed = {d for m in self.catalog for d, _ in m.depends}
         results: dict[str, DataFrame] = {}
         frames = []
+        for name, df in self.sources.items():
+            df.createOrReplaceTempView(name)
         for i, wave in enumerate(self.waves):
             long = reduce(DataFrame.unionByName, [self._query(g, results) for g in self._groups(wave)])
             used = [m.name for m in wave if m.name in needed]
@@ -263,12 +269,15 @@ class MetricEngine:
         head = f"{group_by}, " if group_by else ""
         tail = f" GROUP BY {group_by}" if group_by else ""
         sql = f"SELECT {head}{', '.join(items)} FROM {first.from_clause} {where}{tail}"
-        views = {**self.sources, **{alias: results[name] for name, alias in first.depends}}
-        with _temp_views(self.spark, views):
-            try:
-                wide = self.spark.sql(sql)
-            except PySparkException as e:
-                raise ValueError(f"metrics {[m.name for m in metrics]}: {e}") from e
+        for name, alias in first.depends:
+            results[name].createOrReplaceTempView(alias)
+        try:
+            wide = self.spark.sql(sql)
+        except PySparkException as e:
+            raise ValueError(f"metrics {[m.name for m in metrics]}: {e}") from e
+        for _, alias in first.depends:
+            if alias in self.sources:  # the alias hid a source for this query only
+                self.sources[alias].createOrReplaceTempView(alias)
         return self._to_long(wide, metrics, present)
 
     def _to_long(self, wide: DataFrame, metrics: Sequence[Metric], present: Mapping[str, str]) -> DataFrame:
@@ -306,16 +315,15 @@ class MetricEngine:
 
 
 @contextmanager
-def _temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]):
-    """Register views for the analysis of one query; earlier views of the same name come back afterwards."""
-    taken = {t.name.lower() for n in frames for t in spark.catalog.listTables(pattern=n) if t.isTemporary}
-    before = {n: spark.table(n) for n in frames if n.lower() in taken}
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
+def _temp_views(spark: SparkSession, names: Iterable[str]):
+    """Give these view names back afterwards as they were before: the earlier view or none."""
+    names = list(names)
+    taken = {v.viewName.lower() for v in spark.sql("SHOW VIEWS").toLocalIterator() if v.isTemporary}
+    before = {n: spark.table(n) for n in names if n.lower() in taken}
     try:
         yield
     finally:
-        for name in frames:
+        for name in names:
             if name in before:
                 before[name].createOrReplaceTempView(name)
             else:
