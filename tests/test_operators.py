@@ -103,6 +103,46 @@ def test_keep_latest_ties(spark):
         op.keep_latest(df, ["k"], ["o"], ties="some")
 
 
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """A fact whose key 7 holds a third of the rows, and settings small enough for it to count as skewed."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2000)
+    spark.range(0, 200000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).write.parquet(
+        f"{tmp_path}/fact"
+    )
+    spark.range(0, 1000, 1, 1).select(F.col("id").alias("k"), (F.col("id") * 2).alias("m")).write.parquet(f"{tmp_path}/dim")
+    yield spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/dim")
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def skew_split(df):
+    """Run the plan and report whether adaptive execution split a skewed join."""
+    counted = df.groupBy().agg(F.count(F.lit(1)).alias("n"), *[F.max(c) for c in df.columns])
+    n = counted.collect()[0].n
+    return n, "skew=true" in plan(counted)
+
+
+def test_hot_keys_are_split(skewed):
+    fact, dim = skewed
+    assert skew_split(op.enrich(fact, dim, ["k"], ["m"])) == (200000, True)
+    assert skew_split(op.enrich(fact, dim.unionByName(dim), ["k"], ["m"], unique=False)) == (200000, True)
+    assert skew_split(op.flag_present(fact, dim, ["k"], "f")) == (200000, True)
+    prev = fact.filter(F.substring("v", 1, 1) < "8")
+    assert skew_split(op.classify_changes(prev, fact, ["k"], unique_keys=False)) == (200000, True)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

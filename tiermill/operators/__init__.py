@@ -42,6 +42,7 @@ from .conforming import (
     role_lookup,
     sales_measures,
     special_members,
+    spread,
     split_sensitive,
     union_sources,
     with_constants,

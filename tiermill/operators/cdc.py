@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .conforming import spread
 from .dedup import keep_latest
 
 
@@ -71,21 +72,23 @@ def classify_changes(
     return joined.select(*pick, change.alias("change"))
 
 
+def _mark(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add a boolean: does the null-safe key occur in ``other``?  Rows of ``df`` are neither lost nor multiplied."""
+    left = spread(df, keys).alias("c")
+    right = spread(other.select(*keys).distinct().withColumn("__hit", F.lit(True)), keys).alias("p")
+    joined = left.join(right, _same_key([*keys, "__salt"], "c", "p"), "left_outer")
+    return joined.select(*[F.col(f"c.{x}") for x in df.columns], F.coalesce("p.__hit", F.lit(False)).alias(name))
+
+
 def _classify_multiset(prev, curr, keys, cols, deletes) -> DataFrame:
-    """Semi and anti joins against plain snapshots: no pairs form, and adaptive skew join can split a hot key."""
-    whole = [*keys, *cols]
-    c, p = curr.alias("c"), prev.alias("p")
-    equal_row, equal_key = _same_key(whole, "c", "p"), _same_key(keys, "c", "p")
-    other = c.join(p, equal_row, "left_anti").alias("c")
-    parts = [
-        c.join(p, equal_row, "left_semi").withColumn("change", F.lit("U")),
-        other.join(p, equal_key, "left_semi").withColumn("change", F.lit("C")),
-        other.join(p, equal_key, "left_anti").withColumn("change", F.lit("N")),
-    ]
+    """Existence of the whole row and of the key in ``prev``; copies collapse before they are compared."""
+    marked = _mark(_mark(curr, prev, [*keys, *cols], "__same"), prev, keys, "__known")
+    change = F.when(F.col("__same"), "U").when(F.col("__known"), "C").otherwise("N")
+    out = marked.select(*curr.columns, change.alias("change"))
     if deletes:
-        gone = prev.alias("c").join(curr.alias("p"), equal_key, "left_anti")
-        parts.append(gone.select(*curr.columns).withColumn("change", F.lit("D")))
-    return reduce(DataFrame.unionByName, parts)
+        gone = prev.alias("c").join(curr.alias("p"), _same_key(keys, "c", "p"), "left_anti")
+        out = out.unionByName(gone.select(*curr.columns).withColumn("change", F.lit("D")))
+    return out
 
 
 def change_counts(classified: DataFrame) -> DataFrame:
@@ -110,10 +113,8 @@ def delta(
     if method == "except":
         if deletes:
             raise ValueError("deletes need method='fingerprint'")
-        rows, known = curr.subtract(prev.select(*curr.columns)).alias("c"), prev.alias("p")
-        equal_key = _same_key(list(keys), "c", "p")
-        changed = rows.join(known, equal_key, "left_semi").withColumn(flag, F.lit("C"))
-        return changed.unionByName(rows.join(known, equal_key, "left_anti").withColumn(flag, F.lit("I")))
+        marked = _mark(curr.subtract(prev.select(*curr.columns)), prev, list(keys), "__known")
+        return marked.select(*curr.columns, F.when(F.col("__known"), "C").otherwise("I").alias(flag))
     if method != "fingerprint":
         raise ValueError(f"method must be 'fingerprint' or 'except', not {method!r}")
     changes = classify_changes(prev, curr, keys, deletes=deletes).filter(F.col("change") != "U")

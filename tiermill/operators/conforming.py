@@ -1,8 +1,8 @@
 """Conforming joins: lookups, bridges, roles, fallbacks, special members and source unions.
 
 No broadcast hint is given anywhere: Spark broadcasts a side only below its own size limit, at planning time
-from file statistics or at run time from shuffle sizes.  A lookup side read from storage leaves a shuffle
-directly under the sort of the join, which is the shape adaptive skew join can split.
+from file statistics or at run time from shuffle sizes.  Beyond that limit both sides are shuffled, and every join
+here keeps the shape adaptive skew join can split (see :func:`spread`).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.clean import as_col
 from .dedup import drop_key_duplicates
@@ -44,24 +43,36 @@ def enrich(
 ) -> DataFrame:
     """Add columns of ``dim`` to ``fact``.
 
-    ``unique=False`` first keeps one deterministic row per key of ``dim``.  ``salt`` spreads each key of a very
-    skewed fact over that many tasks when ``dim`` is too large to broadcast and is computed rather than stored.
+    ``unique=False`` first keeps one deterministic row per key of ``dim``.  ``salt`` replicates a ``dim`` that is too
+    large to broadcast and spreads every key of the fact over that many tasks; without it adaptive skew join splits
+    hot keys.
     """
-    on = on if isinstance(on, Mapping) else {k: k for k in on}
+    on = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     columns = columns if isinstance(columns, Mapping) else {c: c for c in columns}
-    keys = list(on.values())
+    keys = list(dict.fromkeys(on.values()))
     right = dim if unique else drop_key_duplicates(dim.select(*dict.fromkeys([*keys, *columns])), keys)
-    right = right.select(
-        *[F.col(k).alias(f"__k_{k}") for k in dict.fromkeys(keys)], *[F.col(c).alias(n) for c, n in columns.items()]
-    )
+    right = right.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(c).alias(n) for c, n in columns.items()])
     out = [*fact.columns, *columns.values()]
     if salt > 1:
         fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*[as_col(c) for c in fact.columns]), F.lit(salt)))
-        right = right.withColumn("__k___salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-        on = {**on, "__salt": "__salt"}
+        right = right.withColumn("__k___salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salt)])))
+        on["__salt"] = "__salt"
+    elif not unique:
+        fact, right = spread(fact, list(on)), spread(right, [f"__k_{k}" for k in keys], "__k___salt")
+        on["__salt"] = "__salt"
     return fact.join(right, _aliased(fact, on, right), how).select(*[as_col(c) for c in out])
 
 
+def spread(df: DataFrame, keys: Sequence[str], name: str = "__salt") -> DataFrame:
+    """A constant join key that the optimiser cannot see through.
+
+    A side that was just aggregated or de-duplicated by the join keys would be joined without a shuffle of its own,
+    and adaptive skew join only splits joins with a shuffle on both sides.  With this extra key the (smaller)
+    computed side is shuffled again and a hot key of the other side can be split.  A broadcast join is unaffected.
+    """
+    return df.withColumn(name, F.pmod(F.xxhash64(*[as_col(k) for k in keys]), F.lit(1)))
+
+
 def conform(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Left-join every source list to the base; each lookup contributes at most one row per base row."""
     return reduce(lambda df, l: enrich(df, l.df, l.on, l.columns, "left", l.unique), lookups, base)
@@ -97,15 +108,14 @@ def role_lookup(df: DataFrame, dim: DataFrame, roles: Mapping[str, str], key: st
 
 
 def flag_present(df: DataFrame, other: DataFrame, on: Mapping[str, str] | Sequence[str], name: str) -> DataFrame:
-    """1 when the key occurs in ``other``, else 0.
-
-    A semi and an anti join: row counts never change, duplicates in ``other`` do not matter and no distinct is needed.
-    """
+    """1 when the key occurs in ``other``, else 0; row counts never change."""
     on = on if isinstance(on, Mapping) else {k: k for k in on}
-    right = other.select(*[F.col(r).alias(f"__k_{r}") for r in dict.fromkeys(on.values())])
-    cond = _aliased(df, on, right)
-    present = df.join(right, cond, "left_semi").withColumn(name, F.lit(1))
-    return present.unionByName(df.join(right, cond, "left_anti").withColumn(name, F.lit(0)))
+    known = other.select(*dict.fromkeys(on.values())).distinct().withColumn("__hit", F.lit(1))
+    right = known.select(*[F.col(c).alias(f"__k_{c}") for c in dict.fromkeys(on.values())], "__hit")
+    left = spread(df, list(on))
+    right = spread(right, [f"__k_{c}" for c in dict.fromkeys(on.values())], "__k___salt")
+    joined = left.join(right, _aliased(left, {**on, "__salt": "__salt"}, right), "left")
+    return joined.select(*[as_col(c) for c in df.columns], F.coalesce("__hit", F.lit(0)).alias(name))
 
 
 def union_sources(*frames: DataFrame, distinct: bool = False) -> DataFrame:
@@ -119,8 +129,10 @@ def special_members(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> Data
     unknown = {k for r in rows for k in r} - set(df.columns)
     if unknown:
         raise ValueError(f"columns not in the dimension: {sorted(unknown)}")
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-    return df.sparkSession.createDataFrame([tuple(r.get(c) for c in df.columns) for r in rows], schema)
+    entries = [
+        F.struct(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema]) for r in rows
+    ]
+    return df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
 def with_special_members(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:

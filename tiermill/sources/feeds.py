@@ -163,12 +163,24 @@ def is_empty_feed(df: DataFrame, minimum: int = 1) -> bool:
     return df.limit(minimum).count() < minimum
 
 
+def _struct(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
 def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return literal_table(spark, [], schema)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence[object]], schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    """A small configuration table as literals of the plan: one task, nothing shipped from Python."""
+    fields = _struct(schema).fields
+
+    def entry(row: Sequence[object]) -> Column:
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)])
+
+    if not rows:
+        return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*[entry(r) for r in rows])))
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
