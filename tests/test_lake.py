@@ -135,6 +135,27 @@ def test_second_run_delivers_changes_only(spark, lake_root):
     assert delivered(spark, lake_root, "dealer_code", "Previous").count() == 3
 
 
+def test_routing(spark, tmp_path):
+    lake = lk.Lake(spark, "/lake", "1", date(2018, 1, 7), SITE)
+    for name in ("ProductIdentifier_1.csv", "PII_Customer_1.csv", "HR_Employee.csv", "OwnMobileStoreList.csv", "x.csv"):
+        (tmp_path / name).write_text("a\n")
+    assert rows(lk.landing_targets(lake, str(tmp_path)), "file_name", "target") == [
+        ("HR_Employee.csv", "/lake/raw/hr/employee"), ("OwnMobileStoreList.csv", "/lake/raw/regular/store_list"),
+        ("PII_Customer_1.csv", "/lake/raw/pii/customer"), ("ProductIdentifier_1.csv", "/lake/raw/regular/product_identifier"),
+        ("x.csv", None),
+    ]
+    known = {lake.raw(f) for f in set(lk.routes(SITE).values())}
+    assert {"/lake/raw/pii/sales_leads", "/lake/raw/hr/employee", "/lake/raw/regular/store_list"} <= known
+
+
+def test_registered_tables(spark, lake_root):
+    lk.register_lake(lk.Lake(spark, str(lake_root), "x", date(2018, 1, 9), SITE), "tiermill_lake_test")
+    try:
+        assert spark.table("tiermill_lake_test.sales_details").count() == 1
+    finally:
+        spark.sql("DROP DATABASE tiermill_lake_test CASCADE")
+
+
 def test_missing_input_is_named(spark, tmp_path):
     lake = lk.Lake(spark, str(tmp_path), "1", date(2018, 1, 7), SITE)
     with pytest.raises(LookupError, match="store_traffic"):

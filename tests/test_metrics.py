@@ -51,6 +51,16 @@ def test_scans_per_group(spark, sales, tmp_path):
     assert count(run(spark, metrics, stored, dims, fuse=False)) == 6
 
 
+def test_scans_are_bounded(spark, sales):
+    metrics = [Metric(f"d{i}", f"count(DISTINCT emp + {i})", "sales", "store") for i in range(9)]
+    engine = MetricEngine(spark, metrics, {"sales": sales}, {"store": "string"})
+    assert [len(g) for g in engine._groups(metrics)] == [4, 4, 1]
+    many = [Metric(f"m{i}", f"sum(qty + {i})", "sales", "store") for i in range(130)]
+    wide = MetricEngine(spark, many, {"sales": sales}, {"store": "string"})
+    assert [len(g) for g in wide._groups(many)] == [64, 64, 2]
+    assert wide.run().count() == 260
+
+
 def test_levels_with_own_company_and_filter(spark, sales):
     metrics = [
         Metric("Amount", "sum(amount)", "sales", "store, emp"),

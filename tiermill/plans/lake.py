@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..sources import feeds, files
-from ..sources.sinks import deliver
+from ..sources.sinks import deliver, register_tables
 from ..sources.snapshots import Snapshots
 from .datasets import dealer, goals, kpi, people, product, reports, sales, store
 from .datasets.site import Site
@@ -135,6 +136,64 @@ class Lake:
         return (previous if store_.ids(1) == [self.run_id] else current), current
 
 
+# --------------------------------------------------------------------------------------- routing
+
+# Prefixes of landed file names and the feed they belong to.
+ROUTES = {
+    "RPT_ATTHistorical_Grid_RPT_ATTHistorical_RPT_ATTMyResultsHistoricalAnalysis": "carrier_actuals_report",
+    "ATTHistorical_Grid_ATTHistorical_ATTMyResultsHistoricalAnalysis": "carrier_actuals",
+    "CategoryNumber": "product_category",
+    "SalesTransactions": "sales_details",
+    "StoreTraffic": "store_traffic",
+    "HR_Employee": "employee",
+    "Inventory": "inventory",
+    "Location": "location",
+    "PII_Customer": "customer",
+    "BAELocation": "expert",
+    "DTVNow": "tv",
+    "MultiTracker": "real_estate",
+    "OperationalEFC_TotalLoss": "operational_efficiency",
+    "ScoreCardGoals_GoalsforSQL": "store_goals",
+    "DealerCodes": "dealer_codes",
+    "PII_Report202020_202020Details": "sales_leads",
+    "ProductIdentifier": "product_identifier",
+    "Product": "product",
+    "PurchaseOrder": "purchase_order",
+    "TransAdjStore": "store_adjustments",
+    "MiscAdjustments": "misc_adjustments",
+    "ReceivingInvoiceHistory": "receiving_invoice_history",
+    "GoalPoints_EmployeeScorecard": "goal_points_employee",
+    "GoalPoints_StoreScorecard": "goal_points_store",
+    "Coupons": "coupons",
+    "ReportingDefinitions": "daily_forecast",
+    "EmpGpGoal": "employee_gross_profit_goal",
+    "TransAdjEMP": "employee_adjustments",
+    "CustExp": "experience",
+    "ApprovedFTE_CurrentHeadcount": "headcount",
+    "CompanyCode": "company",
+}
+SENSITIVE_PREFIXES = {"PII_": "pii", "HR_Employee": "hr"}
+
+
+def routes(site: Site) -> dict[str, str]:
+    """The prefix table with the entries that carry the site's own names."""
+    return {**ROUTES, f"{site.own}MobileStoreList": "store_list", f"{site.code}_KPI": "metric_catalog"}
+
+
+def landing_targets(lake: Lake, landing: str) -> DataFrame:
+    """Feed, sensitivity and raw folder of every landed file; unknown files have no feed."""
+    listed = files.route_files(files.list_files(lake.spark, landing), routes(lake.site), SENSITIVE_PREFIXES)
+    folder = F.concat_ws("/", F.lit(f"{lake.root}/raw"), "sensitivity", "dataset")
+    return listed.withColumn("target", F.when(F.col("dataset").isNotNull(), folder))
+
+
+def register_lake(lake: Lake, database: str | None = None) -> None:
+    """Every refined dataset that has a current copy becomes a SQL table."""
+    stored = {d: lake.refined(d) for d in JOBS}
+    tables = {d: s.current_path for d, s in stored.items() if s.ids(1)}
+    register_tables(lake.spark, tables, database)
+
+
 # ------------------------------------------------------------------------------------------ jobs
 
 

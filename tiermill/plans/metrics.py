@@ -175,8 +175,11 @@ class MetricEngine:
         sources: Mapping[str, DataFrame],
         dimensions: Mapping[str, str] = DIMENSIONS,
         fuse: bool = True,
+        max_metrics: int = 64,
+        max_distinct: int = 4,
     ):
         self.spark = spark
+        self.max_metrics, self.max_distinct = max_metrics, max_distinct
         self.catalog = list(catalog)
         self.sources = dict(sources)
         self.dimensions = dict(dimensions)
@@ -242,12 +245,23 @@ class MetricEngine:
             # An expression of several calls needs its condition in WHERE; single calls can follow it there.
             fixed = {m.condition for m in metrics if m.condition and not m.single_call}
             for cond in sorted(fixed):
-                groups.append([m for m in metrics if m.condition == cond])
-            rest = [m for m in metrics if m.condition not in fixed]
-            if rest:
-                groups.append(rest)
+                groups += self._scans([m for m in metrics if m.condition == cond])
+            groups += self._scans([m for m in metrics if m.condition not in fixed])
         return groups
 
+    def _scans(self, metrics: Sequence[Metric]) -> list[list[Metric]]:
+        """Bound one scan: generated code grows with the metrics, rows multiply with the distinct aggregates."""
+        scans: list[list[Metric]] = []
+        distinct: set[str] = set()
+        for m in metrics:
+            own = {_squeeze(m.expression)} if "distinct" in m.expression.lower() else set()
+            if not scans or len(scans[-1]) == self.max_metrics or len(distinct | own) > self.max_distinct:
+                scans.append([])
+                distinct = set()
+            scans[-1].append(m)
+            distinct |= own
+        return scans
+
     def _query(self, metrics: Sequence[Metric], results: Mapping[str, DataFrame]) -> DataFrame:
         first = metrics[0]
         group_by = _squeeze(first.group_by)

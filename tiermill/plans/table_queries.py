@@ -283,16 +283,31 @@ def metric_catalog_run(spark, t):
 @query(
     "metric_catalog_publish",
     """
-SELECT 'Orders ' || n_name AS "KPI_NM", 4 AS "CO_CD", 'Sales' AS "KPI_CLSIFCATION", n_name AS "KPI_DESC",
-  'count(*)' AS "KPI_XPRSN", 'WHERE c_nationkey = ' || n_nationkey AS "KPI_FLTR_COND",
-  'orders JOIN customer ON o_custkey = c_custkey' AS "KPI_FROM_CLAS", 'o_orderstatus' AS "KPI_GRPBYCOLLIINVC",
-  0 AS "KPI_CALC_LVL", '1' AS "KPI_ACTV_IND", 'Y' AS "KPI_CALC_IND", 'Y' AS "KPI_PBLSH_IND", 'N' AS "PRI_KPI_IND",
-  '' AS "KPI_INTRADAY_IND", 'I' AS "CDC_IND_CD"
-FROM nation
+SELECT 'Lines of ' || p_partkey AS "KPI_NM", 4 AS "CO_CD", p_brand AS "KPI_CLSIFCATION", p_name AS "KPI_DESC",
+  'count(*)' AS "KPI_XPRSN", 'WHERE l_partkey = ' || p_partkey AS "KPI_FLTR_COND", 'lineitem' AS "KPI_FROM_CLAS",
+  'l_returnflag' AS "KPI_GRPBYCOLLIINVC", 0 AS "KPI_CALC_LVL", '1' AS "KPI_ACTV_IND", 'Y' AS "KPI_CALC_IND",
+  'Y' AS "KPI_PBLSH_IND", 'N' AS "PRI_KPI_IND", '' AS "KPI_INTRADAY_IND", 'I' AS "CDC_IND_CD"
+FROM part
 """,
 )
 def metric_catalog_publish(spark, t):
-    return publish_catalog(region_catalog(t))
+    """A definition per part under its published names."""
+    return publish_catalog(
+        t("part").select(
+            F.concat(F.lit("Lines of "), "p_partkey").alias("KPIName"),
+            F.lit(4).alias("Companycd"),
+            F.col("p_brand").alias("Classification"),
+            F.col("p_name").alias("Description"),
+            F.lit("count(*)").alias("Expression"),
+            F.concat(F.lit("WHERE l_partkey = "), "p_partkey").alias("FilterCondition"),
+            F.lit("lineitem").alias("FromClause"),
+            F.lit("l_returnflag").alias("GroupByColumns"),
+            F.lit(0).alias("CalculationLevel"),
+            F.lit("Y").alias("CalculationIndicator"),
+            F.lit("Y").alias("PublishIndicator"),
+            F.lit("N").alias("PrimaryIndicator"),
+        )
+    )
 
 
 # ------------------------------------------------------------------------------- change capture, history
