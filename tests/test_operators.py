@@ -92,6 +92,18 @@ def test_upsert_newest_wins(spark):
         (1, "2018-02-01", 1), (2, "2018-01-01", 1), (3, "2018-02-01", 1),
     ]
     assert op.upsert(None, new, ["id"], ["changed"]).count() == 2
+    nulls = prev.unionByName(spark.createDataFrame([(None, "2017-01-01", 0)], schema))
+    assert rows(op.upsert(nulls, new, ["id"], ["changed"])) == rows(op.upsert(nulls, new, ["id"], ["changed"], prev_unique=False))
+
+
+def test_upsert_does_not_shuffle_an_untouched_history(spark, tmp_path):
+    spark.range(1000).select("id", F.lit("2018").alias("d")).write.parquet(f"{tmp_path}/h")
+    history = spark.read.parquet(f"{tmp_path}/h")
+    feed = spark.range(5).select("id", F.lit("2019").alias("d"))
+    out = op.upsert(history, feed, ["id"], ["d"])
+    first, second = plan(out).split("Union", 1)[1].split("LeftAnti", 1)[1], plan(out)
+    assert "Exchange hashpartitioning" not in first.split("LeftSemi", 1)[0].split("Window", 1)[0]
+    assert second.count("LeftAnti") == 1 and out.count() == 1000 and out.filter("d = '2019'").count() == 5
 
 
 def test_keep_latest_ties(spark):

@@ -127,7 +127,19 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column | str],
+    prev_unique: bool = True,
 ) -> DataFrame:
-    """Full history after an incremental feed: the newest row per key wins."""
-    rows = incoming if prev is None else prev.unionByName(incoming, allowMissingColumns=True)
-    return keep_latest(rows, keys, order_by)
+    """Full history after an incremental feed: the newest row per key wins.
+
+    A history written by earlier runs holds one row per key, so rows whose key is not in the feed pass through: with
+    a small feed its keys are broadcast and the history is not shuffled.  ``prev_unique=False`` ranks all rows.
+    """
+    if prev is None:
+        return keep_latest(incoming, keys, order_by)
+    if not prev_unique:
+        return keep_latest(prev.unionByName(incoming, allowMissingColumns=True), keys, order_by)
+    p, i = prev.alias("c"), incoming.select(*keys).alias("p")
+    equal_key = _same_key(list(keys), "c", "p")
+    touched = p.join(i, equal_key, "left_semi").unionByName(incoming, allowMissingColumns=True)
+    untouched = p.join(i, equal_key, "left_anti")
+    return untouched.unionByName(keep_latest(touched, keys, order_by), allowMissingColumns=True)
