@@ -37,3 +37,19 @@ def write(tmp_path):
         return str(path)
 
     return add
+
+
+@pytest.fixture(scope="module")
+def interpreted(spark):
+    """Tiny fixtures with wide plans: compiling stages would take most of the time."""
+    conf = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.shuffle.partitions": "2",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)

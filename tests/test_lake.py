@@ -13,6 +13,9 @@ from tiermill.plans.datasets import dealer, goals, reports, sales, store
 from tiermill.sources import read_delivery
 
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
+
 def text(header, *records, before=()):
     out = io.StringIO()
     writer = csv.writer(out)
@@ -78,7 +81,7 @@ def land_all(root):
 
 
 @pytest.fixture(scope="module")
-def lake_root(spark, tmp_path_factory):
+def lake_root(spark, interpreted, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     land_all(root)
     lk.run(lk.Lake(spark, str(root), "20180107", date(2018, 1, 7), SITE))

@@ -1088,14 +1088,17 @@ WITH goal AS (SELECT c_nationkey AS storenumber, CASE o_orderpriority WHEN '1-UR
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 heads AS (SELECT c_nationkey AS storenumber, count(*) AS approved_headcount FROM customer GROUP BY 1)
 SELECT g.report_date, c_custkey AS sourceemployeeid, g.kpiname, 4 AS companycd, c_name AS employeename,
-  round(CASE WHEN kpiname = 'Gross Profit' THEN CASE WHEN c_acctbal < 0 THEN 7000.0 ELSE 10000.0 END
+  CAST(round(CAST(CASE WHEN kpiname = 'Gross Profit' THEN CASE WHEN c_acctbal < 0 THEN 7000.0 ELSE 10000.0 END
     WHEN kpiname = 'WTR' THEN goalvalue WHEN c_acctbal < 0 THEN goalvalue / approved_headcount * 0.75
-    ELSE goalvalue / approved_headcount END, 2) AS goalvalue
+    ELSE goalvalue / approved_headcount END AS DECIMAL(28,8)), 2) AS DOUBLE) AS goalvalue
 FROM customer JOIN goal g ON c_nationkey = g.storenumber JOIN heads h ON c_nationkey = h.storenumber
 """,
 )
 def allocate_goals(spark, t):
-    """Nation goals to their customers: 'part-time' are those in debt."""
+    """Nation goals to their customers: 'part-time' are those in debt.
+
+    Goals are rounded half up in decimal (646669.205 is 646669.21); the SQL says so, its binary rounding would not.
+    """
     customers = t("customer")
     orders = op.enrich(t("orders"), customers, {"o_custkey": "c_custkey"}, {"c_nationkey": "storenumber"}, "inner")
     kpi = fn.recode("o_orderpriority", {"1-URGENT": "Gross Profit", "2-HIGH": "WTR"})
