@@ -161,6 +161,7 @@ def test_registered_tables(spark, lake_root):
 
 def test_missing_input_is_named(spark, tmp_path):
     lake = lk.Lake(spark, str(tmp_path), "1", date(2018, 1, 7), SITE)
+    lk.ingest_traffic(lake)  # nothing landed: nothing stored
     with pytest.raises(LookupError, match="store_traffic"):
         lk.refine_traffic(lake)
 

@@ -219,6 +219,12 @@ def test_conform_never_multiplies_rows(spark):
     assert rows(out) == [(1, "a"), (2, None)]
 
 
+def test_enrich_names_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="v"):
+        op.enrich(df, df, ["k"], ["v"])
+
+
 def test_salted_enrich_equals_plain(spark):
     fact = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
     dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))

@@ -49,6 +49,9 @@ def enrich(
     """
     on = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     columns = columns if isinstance(columns, Mapping) else {c: c for c in columns}
+    taken = sorted(set(fact.columns) & set(columns.values()))
+    if taken:
+        raise ValueError(f"the fact already has columns {taken}")
     keys = list(dict.fromkeys(on.values()))
     right = dim if unique else drop_key_duplicates(dim.select(*dict.fromkeys([*keys, *columns])), keys)
     right = right.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(c).alias(n) for c, n in columns.items()])

@@ -75,6 +75,8 @@ class Lake:
 
     def accepted(self, feed: str, **checks) -> list[str]:
         """Paths of the landed files that pass the file checks; the others go to the errors folder."""
+        if not files.folder_exists(self.spark, self.raw(feed)):
+            return []
         verdicts = files.validate_files(self.spark, self.raw(feed), extension=".csv", **checks)
         quality.quarantine_files(verdicts, self.errors, feed, self.run_id)
         return files.accepted_paths(verdicts)

@@ -20,6 +20,7 @@ from .files import (
     accepted_paths,
     file_headers,
     file_inventory,
+    folder_exists,
     header_cells,
     layer_path,
     list_files,

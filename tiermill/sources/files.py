@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,17 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """False for a feed that nothing has landed for."""
+    try:
+        list_files(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def header_cells(line: Column) -> Column:
     """Cells of a CSV header line as an array."""
     return F.transform(F.split(line, _COMMA), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
