@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import quality, toxicity
 from .common import table
 
 
@@ -15,5 +16,30 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, ratio)
 
 
-QUERIES = {"op1_quality": op1_quality}
+TOXIC_FROM = 0.7  # score from which a document counts as toxic
+
+
+def held_out():
+    """Whether a row's labels are kept for evaluation."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Scores of ``documents`` by a model fitted on the labels that are not held out."""
+    return toxicity.score(documents, toxicity.fit(documents, labels.where(~held_out())))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        "evidence",
+        F.size("passages").alias("n_passages"),
+    )
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity}
 SQL: dict[str, str] = {}
