@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import mixing, quality, toxicity, url_rules
 from .common import table
 
 
@@ -41,5 +41,54 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity}
-SQL: dict[str, str] = {}
+#: Token shares the mixture is to have, and the topics a text counts under (the first that fits).
+MIX = mixing.Targets(
+    languages={"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.12, mixing.REST: 0.01},
+    topics={"legal": 0.08, "contact": 0.06, "table": 0.04, "noise": 0.04, "prose": 0.78},
+    source_power=0.8,
+    keep=0.9,
+)
+TOPIC_SQL = """CASE WHEN strpos(lower(text), 'licens') > 0 OR strpos(lower(text), 'rights reserved') > 0 THEN 'legal'
+     WHEN strpos(text, '@') > 0 THEN 'contact' WHEN strpos(text, ' | ') > 0 THEN 'table'
+     WHEN strpos(text, '***') > 0 OR strpos(text, '!!') > 0 THEN 'noise' ELSE 'prose' END"""
+
+
+def topic():
+    return F.expr(TOPIC_SQL.replace("strpos", "instr"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_weights(table(spark, sf_dir, "documents"), topic(), MIX)
+    return mixed.select(
+        "doc_id",
+        "source",
+        "lang",
+        "topic",
+        "n_tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("probability", 6).alias("probability"),
+        "sampled",
+    )
+
+
+#: Curated rules (verdict, host and path); a rule holds for the host and its subdomains.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_toxicity": op2_toxicity,
+    "op7_mixing": op7_mixing,
+    "op10_url_filter": op10_url_filter,
+}
+SQL: dict[str, str] = {"op7_mixing": mixing.oracle(TOPIC_SQL, MIX)}
