@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable
@@ -20,6 +21,13 @@ GROUP_ITEMS = 50_000  # items one task packs; the number of groups follows from
 FAN_IN = 8  # groups that meet in one group of the next round
 SLACK = 16  # a bin with at most this many free tokens leaves at once
 TOKEN_CACHE = 300_000  # distinct words a task remembers
+#: What ``str.split`` cuts at although the tokenizer does not; such texts are cut by Unicode's White_Space instead.
+SEPARATORS = re.compile(r"[\x1c-\x1f]")
+NOT_SPACE = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def split_text(text: str) -> list[str]:
+    return NOT_SPACE.findall(text) if SEPARATORS.search(text) else text.split()
 
 
 class TokenIds(dict):
@@ -55,7 +63,7 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
     def cut(batches):
         ids_of, end = TokenIds(tokenizer), np.array([end_id], "<u4").tobytes()
         for ids, texts in slices(batches):
-            words = [(t or "").split() for t in texts]
+            words = [split_text(t or "") for t in texts]
             ids_of.add({w for x in words for w in x})
             rows = []
             for doc, split in zip(ids, words, strict=True):
@@ -118,8 +126,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     moved = rows.select(F.col("_item").alias("item"), "length").withColumn("grp", F.pmod(F.xxhash64("item"), F.lit(groups)))
     links = []
 
-    def fit(key, batches):
-        table = pa.concat_tables([pa.Table.from_batches([b]) for b in batches]) if not isinstance(batches, pa.Table) else batches
+    def fit(key, table):
         table = table.sort_by("item")
         bins, offsets, fills = best_fit(table["length"].to_pylist(), capacity)
         name = np.array([f"{key[0].as_py()}.{b}" for b in range(len(fills))], object)
@@ -131,9 +138,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
                 "fill": pa.array(np.array(fills, np.int64)[bins]),
             }
         )
+
     level = 0
     while True:
-        packed = moved.groupBy("grp").applyInArrow(lambda key, t: fit(key, t), "item string, bin string, at long, fill long")
+        packed = moved.groupBy("grp").applyInArrow(fit, "item string, bin string, at long, fill long")
         packed = stage(packed.withColumn("bin", F.concat(F.lit(f"{level}:"), "bin")), f"bins-{level}")
         links.append(packed)
         if groups == 1:

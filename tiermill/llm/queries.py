@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import mixing, quality, toxicity, url_rules
+from . import mixing, near_dup, packing, quality, toxicity, url_rules
 from .common import table
 
 
@@ -41,6 +42,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return packing.pack(pieces)
+
+
 #: Token shares the mixture is to have, and the topics a text counts under (the first that fits).
 MIX = mixing.Targets(
     languages={"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.12, mixing.REST: 0.01},
@@ -88,6 +101,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_near_dup": op3_near_dup,
+    "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
     "op10_url_filter": op10_url_filter,
 }
