@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import mixing, near_dup, packing, quality, toxicity, url_rules
+from . import line_dedup, mixing, near_dup, packing, quality, toxicity, url_rules
 from .common import table
 
 
@@ -84,6 +84,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring lines: doc_id, lines dropped, and length and digest of what is left."""
+    kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    left = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", "n_dropped", F.length(left).cast("long").alias("n_left"), F.sha2(left, 256).alias("left_sha256"))
+
+
 #: Curated rules (verdict, host and path); a rule holds for the host and its subdomains.
 URL_RULES = (
     ("allow", "org/"),
@@ -104,6 +111,7 @@ QUERIES = {
     "op3_near_dup": op3_near_dup,
     "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
 SQL: dict[str, str] = {"op7_mixing": mixing.oracle(TOPIC_SQL, MIX)}
