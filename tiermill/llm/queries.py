@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, quality, toxicity, url_rules
+from . import line_dedup, mixing, near_dup, packing, quality, repeats, toxicity, url_rules
 from .common import table
 
 
@@ -84,6 +84,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.expr("aggregate(spans, 0L, (t, s) -> t + s.hi - s.lo)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("rest", 256).alias("kept_sha256"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its recurring lines: doc_id, lines dropped, and length and digest of what is left."""
     kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
@@ -111,6 +122,7 @@ QUERIES = {
     "op3_near_dup": op3_near_dup,
     "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
+    "op8_repeats": op8_repeats,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
