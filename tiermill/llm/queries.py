@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, quality, repeats, toxicity, url_rules
+from . import line_dedup, main_text, mixing, near_dup, packing, quality, repeats, top_k, toxicity, url_rules
 from .common import table
 
 
@@ -54,6 +54,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = main_text.extract(pages, main_text.fit(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 #: Token shares the mixture is to have, and the topics a text counts under (the first that fits).
 MIX = mixing.Targets(
     languages={"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.12, mixing.REST: 0.01},
@@ -121,9 +131,21 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_near_dup": op3_near_dup,
     "op4_packing": op4_packing,
+    "op5_top_k": op5_top_k,
+    "op6_main_text": op6_main_text,
     "op7_mixing": op7_mixing,
     "op8_repeats": op8_repeats,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
-SQL: dict[str, str] = {"op7_mixing": mixing.oracle(TOPIC_SQL, MIX)}
+#: Exact integer products of whole vectors.
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) x FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS (SELECT q.vec_id query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+SQL: dict[str, str] = {"op5_top_k": TOP_K_SQL, "op7_mixing": mixing.oracle(TOPIC_SQL, MIX)}
