@@ -56,12 +56,16 @@ def _beside(tag: str, attributes: str, inside: bool) -> bool:
 
 
 def sequence(page: str) -> list[tuple[str, str]]:
-    """(feature, text) of a page in order: text pieces have the feature WORD, tags theirs; ``~`` marks regions beside."""
+    """(feature, text) of a page in order: text pieces have the feature WORD, tags theirs; ``~`` marks regions beside the
+    content, ``^`` those within a content element."""
     found, stack, beside, content, at = [], [], 0, 0, 0
 
+    def kind() -> str:
+        return "" if not beside else "^" if content else "~"
+
     def text(piece: str) -> None:
         if piece:
-            found.append(("~" + WORD if beside else WORD, html.unescape(piece)))
+            found.append((kind() + WORD, html.unescape(piece)))
 
     for m in PART.finditer(page):
         text(page[at : m.start()])
@@ -71,7 +75,7 @@ def sequence(page: str) -> list[tuple[str, str]]:
             continue
         tag = tag.lower()
         if close:
-            found.append((("~/" if beside else "/") + tag, ""))
+            found.append((kind() + "/" + tag, ""))
             if any(t == tag for t, _ in stack):
                 while stack:
                     name, apart = stack.pop()
@@ -85,7 +89,7 @@ def sequence(page: str) -> list[tuple[str, str]]:
                 stack.append((tag, apart))
                 beside += apart
                 content += tag in ("article", "main")
-            found.append((("~" if beside else "") + tag, ""))
+            found.append((kind() + tag, ""))
     text(page[at:])
     return found
 
@@ -108,7 +112,7 @@ class Weights:
         known = self.by_feature.get(feature)
         if known is not None:
             return known
-        return -FAINT if not feature.startswith("~") else -1.0
+        return -1.0 if feature.startswith("~") else 0.0 if feature.endswith(WORD) else -FAINT
 
 
 def fit(pages: DataFrame, features: int = TAGS) -> Weights:
@@ -168,7 +172,7 @@ def blocks(parts: list[tuple[str, str]]) -> list[str]:
     """The text of the parts by block, white space as single spaces; regions beside the text are left out."""
     done, block = [], []
     for feature, text in [*parts, ("p", "")]:
-        name = feature.lstrip("~/")
+        name = feature.lstrip("~^/")
         if feature == WORD:
             block.append(text)
         elif name == "br":
