@@ -9,8 +9,9 @@
    the threshold.
 4. *Verification* on the full shingle sets, then connected components.
 
-Documents with equal sets form a class and are represented once.  A bucket first compares each class with two pivots; all
-pairs of classes are compared only in buckets that then still hold several components, and only between components.
+Documents with equal sets form a class and are represented once.  Each class is first compared with two pivots; then,
+only in buckets that still hold several components, with those buckets' own pivots; and last, where that leaves several
+components, all pairs between components are compared.
 """
 
 from __future__ import annotations
@@ -159,26 +160,40 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands:
         F.count("*").alias("members"), F.min("digest").alias("p"), F.max(F.struct("n", "digest")).getField("digest").alias("q")
     )
     shared = stage(buckets.join(pivots.where("members > 1"), "bucket"), "shared")
-    pairs = shared.select(F.explode(F.array("p", "q")).alias("pivot"), "digest").where("pivot <> digest")
-    pairs = pairs.select(F.greatest("pivot", "digest").alias("a"), F.least("pivot", "digest").alias("b")).distinct()
-    pairs = stage(pairs, "pairs")
-    edges = stage(_confirmed(pairs, classes, percent, bands), "links")
+    own, other = F.col("digest"), F.col("pivot")
+    ordered = [F.greatest(own, other).alias("a"), F.least(own, other).alias("b")]
+
+    # Each class with the lowest and the highest pivot of all its buckets: two pairs a class at most.
+    ends = shared.groupBy("digest").agg(F.min("p").alias("p"), F.max("q").alias("q"))
+    pairs = ends.select("digest", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest")
+    edges = stage(_confirmed(stage(pairs.select(*ordered).distinct(), "pairs"), classes, percent, bands), "links")
     label = stage(components(edges), "labels")
 
-    # Buckets that still hold several components: compare classes of different components.
-    own = shared.select("bucket", "digest", "n").join(label.withColumnRenamed("node", "digest"), "digest", "left")
-    own = own.withColumn("component", F.coalesce("component", "digest"))
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
-    mixed = mixed.where("lo <> hi and members > 2").select("bucket")  # of two members, one is the other's pivot
-    left = stage(own.join(mixed, "bucket"), "mixed")
+    def mixed() -> DataFrame:
+        """The members, with their components, of the buckets that still hold several components."""
+        named = shared.join(label.withColumnRenamed("node", "digest"), "digest", "left")
+        named = named.withColumn("component", F.coalesce("component", "digest"))
+        still = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return stage(named.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
+
+    # What is left of those buckets: first each class with its buckets' pivots, then all pairs between components.
+    left = mixed()
+    pivot = label.select(F.col("node").alias("pivot"), F.col("component").alias("c"))
+    pairs = left.select("digest", "component", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest").distinct()
+    pairs = pairs.join(pivot, "pivot", "left").where("component <> coalesce(c, pivot)").select(*ordered).distinct()
+    found = stage(_confirmed(stage(pairs, "pivots"), classes, percent, bands), "pivot-links")
+    if not found.isEmpty():
+        edges = edges.union(found)
+        label = stage(components(edges), "labels")
+        left = mixed()
     other = left.select("bucket", F.col("digest").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    more = left.join(other, "bucket").where(
+    more = left.where("members > 2").join(other, "bucket").where(  # of two members, one is the other's pivot
         f"digest > b and component <> c and 100 * least(n, m) >= {percent} * greatest(n, m)"
     )
-    more = stage(more.select(F.col("digest").alias("a"), "b").distinct(), "more").join(pairs, ["a", "b"], "left_anti")
-    extra = stage(_confirmed(stage(more, "open"), classes, percent, bands), "more-links")
-    if not extra.isEmpty():
-        label = stage(components(edges.union(extra)), "labels")
+    more = stage(more.select(F.col("digest").alias("a"), "b").distinct(), "more")
+    found = stage(_confirmed(more, classes, percent, bands), "more-links")
+    if not found.isEmpty():
+        label = stage(components(edges.union(found)), "labels")
 
     ids = some.groupBy("digest").agg(F.min("doc_id").alias("first"))
     ids = ids.join(label.withColumnRenamed("node", "digest"), "digest", "left")
