@@ -73,7 +73,7 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
 def quarantine(bad: DataFrame, root: str, dataset: str, run_id: str) -> None:
     """Append rejected rows as header CSV below ``root/<dataset>``; rule names are joined by ``|``."""
     rows = bad.withColumns({"failed_rules": F.concat_ws("|", "failed_rules"), "run_id": F.lit(run_id)})
-    rows.write.mode("append").option("header", True).csv(f"{root.rstrip('/')}/{dataset}")
+    rows.write.mode("append").option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/{dataset}")
 
 
 def quarantine_files(verdicts: DataFrame, root: str, dataset: str, run_id: str) -> None:

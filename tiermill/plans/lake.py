@@ -274,7 +274,7 @@ def ingest_employee(lake: Lake) -> None:
 def refine_employee(lake: Lake) -> None:
     new = people.standardise_employee(lake.found("employee"), lake.site)
     lake.refine("employee_delta", people.employee_delta(new))
-    lake.refine("employee", people.refine_employee(lake.refined("employee").latest(), new))
+    lake.refine("employee", people.refine_employee(lake.refined("employee").latest(before=lake.run_id), new))
 
 
 def deliver_employee(lake: Lake) -> None:

@@ -2,17 +2,19 @@
 
 Layout below ``root``::
 
-    history/year=YYYY/month=MM/snapshot_id=ID/   immutable snapshots
+    history/year=YYYY/month=MM/snapshot_id=ID/attempt=A/   immutable snapshots
     current/                                     copy of the newest snapshot
     log/snapshot_id=ID/                          one-row entry per committed snapshot
 
-A snapshot becomes visible when its log entry is written, after its data.  Writing an id again replaces the same
-folder, so a job that lost executors or was restarted can simply run again.
+A snapshot becomes visible when its log entry is written, after its data.  Every attempt has a folder of its own and the
+log names the one that counts, so a job that lost executors or was restarted can simply run again, even if it reads what
+it replaces.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -34,10 +36,11 @@ class Snapshots:
     def current_path(self) -> str:
         return f"{self.root}/current"
 
-    def _entries(self, n: int):
-        """The newest ``n`` log entries: one small row per snapshot, ordered by id."""
+    def _entries(self, n: int, before: str | None = None):
+        """The newest ``n`` log entries (of ids below ``before``): one small row per snapshot, ordered by id."""
         try:
             log = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/log")
+            log = log if before is None else log.filter(F.col("snapshot_id") < before)
             return log.orderBy(F.desc("snapshot_id")).limit(n).collect()
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e):
@@ -50,8 +53,9 @@ class Snapshots:
     def _read(self, entry) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{entry.folder}")
 
-    def latest(self) -> DataFrame | None:
-        entries = self._entries(1)
+    def latest(self, before: str | None = None) -> DataFrame | None:
+        """The newest snapshot; with ``before``, the newest of a smaller id, which a re-run of that id builds on."""
+        entries = self._entries(1, before)
         return self._read(entries[0]) if entries else None
 
     def latest_two(self) -> tuple[DataFrame | None, DataFrame | None]:
@@ -68,8 +72,9 @@ class Snapshots:
         spark = self.spark
         rows = spark.read.option("basePath", f"{self.root}/history").parquet(f"{self.root}/history")
         rows = rows.withColumn("snapshot_id", F.col("snapshot_id").cast("string"))
-        log = spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/log").select("snapshot_id")
-        return rows.join(log, "snapshot_id", "left_semi")
+        log = spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/log")
+        log = log.select("snapshot_id", F.regexp_extract("folder", "attempt=([^/]+)", 1).alias("attempt"))
+        return rows.join(log, ["snapshot_id", "attempt"], "left_semi").drop("attempt")
 
     def write(self, df: DataFrame, snapshot_id: str, run_date: date, current_copy: bool = True) -> DataFrame:
         """Commit ``df`` as a snapshot and return it as stored.
@@ -86,7 +91,7 @@ class Snapshots:
         newest = self.ids(1)
         if newest and snapshot_id < newest[0]:
             raise ValueError(f"snapshot id {snapshot_id!r} is older than {newest[0]!r}")
-        folder = f"history/year={run_date:%Y}/month={run_date:%m}/snapshot_id={snapshot_id}"
+        folder = f"history/year={run_date:%Y}/month={run_date:%m}/snapshot_id={snapshot_id}/attempt=a{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(f"{self.root}/{folder}")
         return folder, self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
 
