@@ -9,9 +9,9 @@
    the threshold.
 4. *Verification* on the full shingle sets, then connected components.
 
-Documents with equal sets form a class and are represented once.  Each class is first compared with two pivots; then,
-only in buckets that still hold several components, with those buckets' own pivots; and last, where that leaves several
-components, all pairs between components are compared.
+Documents with equal sets form a class and are represented once.  Each class is first compared with two pivots of its
+FIRST buckets; then, in buckets that hold several components, the members outside the largest one with a pivot of it; and
+last, where that leaves several components, all pairs between components are compared.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from tiermill.plans.staging import stage
 from .common import WordHash, mix, slices, words_of
 
 BANDS = 32
+FIRST = 4  # bands of the first pass; the second takes all, but only what the first left apart
 MANTISSA = 10  # bits kept behind the leading one; 6 bits hold the count of leading zeros
 MARGIN = 0.2  # over five standard errors of the estimate at the threshold
 BLOCK = 256  # shingles hashed at once, so the work stays in the processor's cache
@@ -143,6 +144,12 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) -
     return common.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
 
 
+def _members(classes: DataFrame, *columns: str) -> DataFrame:
+    """(bucket, digest, n) and ``columns`` of every class in each of its buckets."""
+    spread = classes.select("digest", "n", *columns, F.posexplode("bands").alias("i", "band"))
+    return spread.select(F.xxhash64("i", "band").alias("bucket"), "digest", "n", *columns)
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id and kept.
 
@@ -154,40 +161,41 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands:
     rows = stage(sketches(documents, k, bands), "sketches")
     some = rows.where("digest is not null")
     classes = stage(some.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n", "bands", "shingles"))), "classes")
-    spread = classes.select("digest", "n", F.posexplode("bands").alias("i", "band"))
-    buckets = stage(spread.select(F.xxhash64("i", "band").alias("bucket"), "digest", "n"), "buckets")
-    pivots = buckets.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("digest").alias("p"), F.max(F.struct("n", "digest")).getField("digest").alias("q")
-    )
-    shared = stage(buckets.join(pivots.where("members > 1"), "bucket"), "shared")
     own, other = F.col("digest"), F.col("pivot")
     ordered = [F.greatest(own, other).alias("a"), F.least(own, other).alias("b")]
 
-    # Each class with the lowest and the highest pivot of all its buckets: two pairs a class at most.
-    ends = shared.groupBy("digest").agg(F.min("p").alias("p"), F.max("q").alias("q"))
+    # Each class with the lowest and the highest pivot of its buckets in the first bands: two pairs a class at most.
+    first = stage(_members(classes.withColumn("bands", F.slice("bands", 1, FIRST))), "first")
+    pivots = first.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min("digest").alias("p"), F.max(F.struct("n", "digest")).getField("digest").alias("q")
+    )
+    ends = first.join(pivots.where("members > 1"), "bucket").groupBy("digest").agg(F.min("p").alias("p"), F.max("q").alias("q"))
     pairs = ends.select("digest", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest")
     edges = stage(_confirmed(stage(pairs.select(*ordered).distinct(), "pairs"), classes, percent, bands), "links")
     label = stage(components(edges), "labels")
 
-    def mixed() -> DataFrame:
-        """The members, with their components, of the buckets that still hold several components."""
-        named = shared.join(label.withColumnRenamed("node", "digest"), "digest", "left")
-        named = named.withColumn("component", F.coalesce("component", "digest"))
-        still = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return stage(named.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
-
-    # What is left of those buckets: first each class with its buckets' pivots, then all pairs between components.
-    left = mixed()
-    pivot = label.select(F.col("node").alias("pivot"), F.col("component").alias("c"))
-    pairs = left.select("digest", "component", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest").distinct()
-    pairs = pairs.join(pivot, "pivot", "left").where("component <> coalesce(c, pivot)").select(*ordered).distinct()
-    found = stage(_confirmed(stage(pairs, "pivots"), classes, percent, bands), "pivot-links")
+    def mixed() -> tuple[DataFrame, DataFrame]:
+        """The members of all buckets, and per bucket with several components its largest one with a pivot of it."""
+        named = classes.select("digest", "n", "bands").join(label.withColumnRenamed("node", "digest"), "digest", "left")
+        members = _members(stage(named.withColumn("component", F.coalesce("component", "digest")), "named"), "component")
+        parts = members.groupBy("bucket", "component").agg(F.count("*").alias("size"), F.min("digest").alias("pivot"))
+        main = parts.groupBy("bucket").agg(
+            F.count("*").alias("parts"), F.sum("size").alias("members"), F.max(F.struct("size", "component", "pivot")).alias("main")
+        )
+        return members, stage(main.where("parts > 1").select("bucket", "members", "main.component", "main.pivot"), "mixed")
+
+    # In buckets of several components: the members outside the largest one with its pivot, ...
+    members, main = mixed()
+    outside = [members["bucket"] == main["bucket"], members["component"] != main["component"]]
+    found = stage(_confirmed(stage(members.join(main, outside).select(*ordered).distinct(), "pivots"), classes, percent, bands), "pivot-links")
     if not found.isEmpty():
         edges = edges.union(found)
         label = stage(components(edges), "labels")
-        left = mixed()
+        members, main = mixed()
+    # ... then, where several are left, all pairs between components.  Of two members, one was the other's pivot.
+    left = stage(members.join(main.where("members > 2").select("bucket"), "bucket"), "left")
     other = left.select("bucket", F.col("digest").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    more = left.where("members > 2").join(other, "bucket").where(  # of two members, one is the other's pivot
+    more = left.join(other, "bucket").where(
         f"digest > b and component <> c and 100 * least(n, m) >= {percent} * greatest(n, m)"
     )
     more = stage(more.select(F.col("digest").alias("a"), "b").distinct(), "more")
