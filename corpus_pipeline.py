@@ -7,18 +7,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tiermill.llm import line_dedup, mixing, near_dup, packing, queries
+from tiermill.llm import toxicity as tox
 from tiermill.llm.common import table
 from tiermill.plans.staging import stage
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxic threshold.  Rows with a null id are scored and kept or rejected too."""
-    scored = queries.toxicity_scores(docs, table(spark, sf_dir, "labels"))
-    toxic = scored.where(F.col("score") >= queries.TOXIC_FROM).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(toxic, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents that score below the toxic threshold; each row is kept or rejected by its own text, whatever its id."""
+    return tox.below(docs, queries.toxicity_model(docs, table(spark, sf_dir, "labels")), queries.TOXIC_FROM)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,16 +27,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, similarity 0.8): the one with the smallest doc_id.
 
-    Documents without words are no copies and stay.  Of repeated rows one stays.
+    Documents without words are no copies and stay.  Of repeated rows one stays, and so does one of a group without ids.
     """
-    found = near_dup.near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    repeated = found.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
-    if repeated.isEmpty():
-        return rest
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    return rest.join(repeated, same, "left_anti").union(rest.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return near_dup.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,11 +73,11 @@ def registers(found: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
-    """Per row: row (doc_id), digest of the set (null: empty set), n, bands and the set itself."""
+    """Per row: row (doc_id and text hash), digest of the set (null: empty set), n, bands and the set itself."""
 
     def work(batches):
         hashes = WordHash(bytes.lower)  # lower-cases A to Z only
-        for ids, texts in slices(batches):
+        for ids, texts, wholes in slices(batches):
             digest, size, sig, sets = [], [], [], []
             for text in texts:
                 found = shingles(hashes.of(words_of(text)), k)
@@ -88,16 +88,17 @@ def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    pa.array(wholes, pa.int64()),
                     pa.array(digest, pa.binary()),
                     pa.array(size, pa.int64()),
                     pa.array(sig, pa.list_(pa.int64())),
                     pa.array(sets, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "digest", "n", "bands", "shingles"],
+                ["doc_id", "whole", "digest", "n", "bands", "shingles"],
             )
 
-    schema = "doc_id long, digest binary, n long, bands array<long>, shingles array<long>"
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    schema = "doc_id long, whole long, digest binary, n long, bands array<long>, shingles array<long>"
+    return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(work, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -143,14 +144,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) -
     return common.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
-    """Per row of ``documents``: doc_id, n_shingles, component_id and kept.
-
-    Two documents are linked when their sets of distinct k-word shingles (A-Z lower-cased) have at least ``percent``
-    hundredths of their union in common.  ``component_id`` is the smallest doc_id reachable.  Null, empty and blank texts
-    have no shingles and are linked with nothing.  Repeated rows are linked with each other; rows with a null id take
-    part, and a component of such rows only has a null component_id and is kept.  Other columns are ignored.
-    """
+def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
+    """Per row of ``documents``: doc_id, whole (hash of the text), n, component (null: no shingles) and component_id, the
+    smallest doc_id of the component."""
     rows = stage(sketches(documents, k, bands), "sketches")
     some = rows.where("digest is not null")
     classes = stage(some.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n", "bands", "shingles"))), "classes")
@@ -199,9 +195,40 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands:
     ids = ids.join(label.withColumnRenamed("node", "digest"), "digest", "left")
     ids = ids.withColumn("component", F.coalesce("component", "digest"))
     lowest = ids.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = ids.join(lowest, "component").select("digest", "component_id")
-    out = rows.select("doc_id", "digest", "n").join(named, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    named = ids.join(lowest, "component").select("digest", "component", "component_id")
+    return rows.select("doc_id", "whole", "digest", "n").join(named, "digest", "left").drop("digest")
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
+    """Per row of ``documents``: doc_id, n_shingles, component_id and kept.
+
+    Two documents are linked when their sets of distinct k-word shingles (A-Z lower-cased) have at least ``percent``
+    hundredths of their union in common.  ``component_id`` is the smallest doc_id reachable.  Null, empty and blank texts
+    have no shingles and are linked with nothing.  Repeated rows are linked with each other; rows with a null id take
+    part, and a component of such rows only has a null component_id and is kept.  Other columns are ignored.
+    """
+    out = linked(documents, k, percent, bands)
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
+    """``documents`` with one row of each component: the one with the smallest doc_id (null last), then text hash.
+
+    Rows are told apart by doc_id and text, so null ids and ids that several texts share reject nothing but the copies
+    themselves.  Rows without shingles stay.
+    """
+    found = linked(documents, k, percent, bands).where("component is not null")
+    kinds = stage(found.groupBy("component", "doc_id", "whole").agg(F.count("*").alias("rows")), "kinds")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "whole")
+    first = stage(kinds.groupBy("component").agg(F.min(place).alias("first")), "first")
+    placed = kinds.join(first, "component").withColumn("stays", place.eqNullSafe(F.col("first")))
+    placed = stage(placed.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), "rows", "stays"), "placed")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_whole"))
+    rest = documents.join(placed.where("not stays"), same, "left_anti")
+    repeated = placed.where("stays and rows > 1")
+    if repeated.isEmpty():
+        return rest
+    return rest.join(repeated, same, "left_anti").union(rest.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

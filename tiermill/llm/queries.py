@@ -25,9 +25,14 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
 
 
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """A model fitted on the labels that are not held out."""
+    return toxicity.fit(documents, labels.where(~held_out()))
+
+
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of ``documents`` by a model fitted on the labels that are not held out."""
-    return toxicity.score(documents, toxicity.fit(documents, labels.where(~held_out())))
+    return toxicity.score(documents, toxicity_model(documents, labels))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

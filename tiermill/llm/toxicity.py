@@ -236,6 +236,24 @@ def _significant(n: int, found: list[float], rate: float) -> list[float]:
     return [s for s in found if max(n, 1) * math.exp(-rate * s) <= SIGNIFICANT]
 
 
+def _judge(model: tuple[np.ndarray, float, tuple[float, float, float]]):
+    """A function from texts to their scores, evidence and significant passages."""
+    scores, rate, weights = model
+    cache = _scorer(scores)
+
+    def judged(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
+        passages, x = [], []
+        for n, places, values in _places(texts, cache):
+            found = [(a, b, s) for a, b, s in segments(places, values) if max(n, 1) * math.exp(-rate * s) <= SIGNIFICANT]
+            passages.append([{"first": a, "last": b, "score": round(s, 4)} for a, b, s in found])
+            x.append((1.0, *surprisals(n, [s for _, _, s in found], rate)))
+        x = np.array(x).reshape(-1, 3)
+        p = 1 / (1 + np.exp(-np.clip(squashed(x) @ np.array(weights), -30, 30)))
+        return np.round(p, 9), np.round(x[:, 1], 6), passages
+
+    return judged
+
+
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, ``score`` in 0..1, ``evidence`` (surprisal of the best passage) and ``passages``.
 
@@ -248,20 +266,31 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     passage = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
 
     def judge(batches):
-        scores, rate, weights = shared.value
-        cache = _scorer(scores)
+        judged = _judge(shared.value)
         for ids, texts in slices(batches):
-            passages, x = [], []
-            for n, places, values in _places(texts, cache):
-                found = [(a, b, s) for a, b, s in segments(places, values) if max(n, 1) * math.exp(-rate * s) <= SIGNIFICANT]
-                passages.append([{"first": a, "last": b, "score": round(s, 4)} for a, b, s in found])
-                x.append((1.0, *surprisals(n, [s for _, _, s in found], rate)))
-            x = np.array(x).reshape(-1, 3)
-            p = 1 / (1 + np.exp(-np.clip(squashed(x) @ np.array(weights), -30, 30)))
+            p, evidence, passages = judged(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(np.round(p, 9)), pa.array(np.round(x[:, 1], 6)), pa.array(passages, passage)],
+                [pa.array(ids, pa.int64()), pa.array(p), pa.array(evidence), pa.array(passages, passage)],
                 ["doc_id", "score", "evidence", "passages"],
             )
 
     schema = "doc_id long, score double, evidence double, passages array<struct<first: long, last: long, score: double>>"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, schema)
+
+
+def below(documents: DataFrame, model: Model, limit: float) -> DataFrame:
+    """The rows of ``documents`` that score below ``limit``, with all their columns.
+
+    Each row carries its own verdict, so null ids and ids that several rows share decide nothing.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast((model.scores, model.rate, model.weights))  # a bounded model
+
+    def keep(batches):
+        judged = _judge(shared.value)
+        for batch in batches:
+            at = 0
+            for (texts,) in slices([batch.select(["text"])], 0):
+                yield batch.slice(at, len(texts)).filter(pa.array(judged(texts)[0] < limit))
+                at += len(texts)
+
+    return documents.mapInArrow(keep, documents.schema)
