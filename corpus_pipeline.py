@@ -20,8 +20,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines whose template recurs."""
-    return line_dedup.drop_lines(docs).select(docs.columns)
+    """Every document, without the lines whose template recurs, short ones included."""
+    return line_dedup.drop_lines(docs, words=1).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A line's leaf is its number of words and its LEAD leading words; words with a digit stand as the wildcard.  Within a leaf
 a word is a constant at its position when at least ``least`` different texts have it there, else a variable field.  The
 words with variable fields as wildcards are the line's template.  A template that recurs in ``least`` different texts and
-consists of constants for the most part is dropped everywhere but where it first occurs.
+consists of constants for the most part is dropped everywhere but where it first occurs.  A line shorter than LEAD is a
+leaf of its own; ``words=1`` takes every line that is not blank.
 
 Texts count, not documents, so exact copies count once.  Leaves of fewer texts hold no such template and are left out
 before any word is shuffled; every count is combined before its shuffle and no leaf is gathered in a task.
@@ -20,12 +21,12 @@ from pyspark.sql import functions as F
 
 from tiermill.plans.staging import stage
 
-from .common import slices
+from .common import WORD_CACHE, slices
 
 LEAST = 10  # different texts a template must recur in
 LEAD = 3  # leading words a leaf is keyed by
 CONSTANT = 0.7  # share of a template's words that must be constants
-WORDS = 4  # shorter lines are kept
+WORDS = 4  # shorter lines are kept, unless a caller asks for all; the queries do
 WILD = 0  # stands for a variable field
 VARIABLE = re.compile(rb"[0-9]")
 
@@ -34,15 +35,28 @@ def token(word: bytes) -> int:
     return WILD if VARIABLE.search(word) else xxhash.xxh3_64_intdigest(word) >> 33 or 1
 
 
+class Tokens(dict):
+    """``token`` of a word, computed once per distinct word a worker meets."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        value = self[word] = token(word)
+        return value
+
+
 def parsed(documents: DataFrame, lead: int = LEAD, words: int = WORDS) -> DataFrame:
-    """The lines of at least ``words`` words: row (of doc_id and text), doc_id, text hash, line number, leaf and tokens."""
+    """The lines of at least ``words`` words, blank ones never: row (of doc_id and text), doc_id, text hash, line number, leaf and tokens."""
+
+    words = max(words, 1)
 
     def work(batches):
+        known = Tokens()
         for ids, texts, wholes in slices(batches):
             rows = []
             for doc, text, whole in zip(ids, texts, wholes, strict=True):
                 for at, line in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")):
-                    tokens = [token(w) for w in line.split()]
+                    tokens = [known[w] for w in line.split()]
                     if len(tokens) >= words:
                         leaf = xxhash.xxh3_64_intdigest(repr((len(tokens), tokens[:lead])).encode()) - (1 << 63)
                         rows.append((doc, whole, at, leaf, tokens))

@@ -112,7 +112,7 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its recurring lines: doc_id, lines dropped, and length and digest of what is left."""
-    kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"), words=1)
     left = F.coalesce("text", F.lit(""))
     return kept.select("doc_id", "n_dropped", F.length(left).cast("long").alias("n_left"), F.sha2(left, 256).alias("left_sha256"))
 
