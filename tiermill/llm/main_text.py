@@ -23,7 +23,7 @@ TAGS = 2000  # bound of the features the driver holds, the most frequent ones
 FAINT = 0.01  # cost of a tag that is at home in main text
 PRIOR = 0.5
 # Fixed values of HTML: raw or hidden elements, elements that start a block, those without content, regions beside the text.
-RAW = "script style noscript template iframe svg textarea title select button object".split()
+RAW = frozenset("script style noscript template iframe svg textarea title select button object".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
@@ -38,27 +38,86 @@ BESIDE_NAMES = frozenset(
 )
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r""")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S | re.I,
 )
+CODE = ("script", "style")  # their text may hold anything but their end tag
+TEXT = ("textarea", "title", "iframe")  # their text is no markup
+END = {t: re.compile(rf"<(/?){t}(?=[\s/>])[^>]*>" if t in TEXT else rf"<(/){t}(?=[\s/>])[^>]*>", re.I) for t in (*CODE, *TEXT)}
+UNQUOTED = re.compile(r"""=\s*[^\s"'=]*/$""")  # the slash belongs to an attribute's value
 WORD = "#"
 
 
+def _names(attributes: str) -> list[str]:
+    """The words of an element's class, id and role."""
+    names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if attributes else ""
+    return re.split(r"[^a-z0-9]+", names.lower())
+
+
 def _beside(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is a region beside the text; a header within the content holds its title."""
     if tag in BESIDE or (tag == "header" and not inside):
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if attributes else ""
-    return bool(names) and not BESIDE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", names.lower()))
+    return not BESIDE_NAMES.isdisjoint(_names(attributes))
+
+
+def tags(page: str) -> list[tuple[int, int, bool, str, str]]:
+    """(start, end, whether it closes, name, attributes) of the tags in order; comments and the like have no name.  Text
+    of CODE and TEXT elements holds no tags if the element is closed."""
+    found, at, absent = [], 0, set()
+    while m := PART.search(page, at):
+        close, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        at, tag = m.end(), (tag or "").lower()
+        found.append((m.start(), at, bool(close), tag, attributes or ""))
+        if tag in END and not close and not _empty(attributes) and tag not in absent:
+            end = END[tag].search(page, at)
+            if not end:
+                absent.add(tag)
+            elif end[1]:
+                found.append((end.start(), end.end(), True, tag, ""))
+                at = end.end()
+    return found
+
+
+def _empty(attributes: str) -> bool:
+    """Whether a tag closes itself."""
+    return attributes.endswith("/") and not UNQUOTED.search(attributes)
+
+
+def _raw_ends(marks: list[tuple[int, int, bool, str, str]], length: int) -> dict[int, int]:
+    """Where each raw element ends, by the index of its tag: behind its end tag or, without one, at the next block tag."""
+    ends, opened, block = {}, {}, length
+    for i, (_, end, close, tag, attributes) in enumerate(marks):
+        if tag in RAW:
+            if not close and not _empty(attributes):
+                opened.setdefault(tag, []).append(i)
+            elif close and opened.get(tag):
+                ends[opened[tag].pop()] = end
+    before = length  # of block tags other than a select's own
+    for i in range(len(marks) - 1, -1, -1):
+        start, _, close, tag, attributes = marks[i]
+        if tag in RAW and not close and not _empty(attributes) and i not in ends:
+            ends[i] = before if tag == "select" else block
+        if tag in BLOCK:
+            block = start
+            before = before if tag in ("option", "optgroup") else start
+    return ends
 
 
 def sequence(page: str) -> list[tuple[str, str]]:
     """(feature, text) of a page in order: text pieces have the feature WORD, tags theirs; ``~`` marks regions beside the
-    content, ``^`` those within a content element."""
-    found, stack, beside, content, at = [], [], 0, 0, 0
+    content, ``^`` those within a content element.
+
+    A ``main`` or ``article`` within a region beside the text ends that mark: the region is a wrapper.  Articles within
+    articles, in HTML's own regions beside the text, and those named as comments do not.
+    """
+    marks = tags(page)
+    raw = _raw_ends(marks, len(page))
+    found, stack, at = [], [], 0
+    beside = content = within = hard = 0  # open regions beside the text, content elements, articles, BESIDE elements but forms
 
     def kind() -> str:
         return "" if not beside else "^" if content else "~"
@@ -67,28 +126,32 @@ def sequence(page: str) -> list[tuple[str, str]]:
         if piece:
             found.append((kind() + WORD, html.unescape(piece)))
 
-    for m in PART.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        close, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
-        if not tag:
+    for i, (start, end, close, tag, attributes) in enumerate(marks):
+        if start < at:
+            continue
+        text(page[at:start])
+        at = raw.get(i, end)
+        if not tag or tag in RAW:
             continue
-        tag = tag.lower()
         if close:
             found.append((kind() + "/" + tag, ""))
-            if any(t == tag for t, _ in stack):
+            if any(entry[0] == tag for entry in stack):
                 while stack:
-                    name, apart = stack.pop()
-                    beside -= apart
-                    content -= name in ("article", "main")
+                    name, *state = stack.pop()
+                    beside, content, within, hard = state
                     if name == tag:
                         break
         else:
-            apart = _beside(tag, attributes, content > 0)
             if tag not in VOID:
-                stack.append((tag, apart))
-                beside += apart
-                content += tag in ("article", "main")
+                stack.append((tag, beside, content, within, hard))
+                if tag in ("article", "main"):
+                    if tag == "main" or not (within or hard or "comment" in _names(attributes)):
+                        beside = hard = 0
+                    content += 1
+                    within += tag == "article"
+                else:
+                    beside += _beside(tag, attributes, content > 0)
+                    hard += tag in BESIDE and tag != "form"
             found.append((kind() + tag, ""))
     text(page[at:])
     return found
