@@ -1,7 +1,8 @@
 """Main text of web pages: the maximum-scoring run of words and tags.
 
 A page is a sequence of words and tags.  Their weights are log-odds of standing inside the main text, learned from pages
-that label it themselves by a single ``<article>`` or ``<main>`` element; words are held at or below 1, tags below 0.  One
+that label it themselves by a single ``<article>`` or ``<main>`` element; words are held at or below 1, tags below 0
+and at their log-odds, whatever a single page or the size of the corpus.  One
 linear scan finds the run of highest total, which is the content region; its text is returned block by block.  Features
 are tag names (not classes), each with the kind of region it stands in, so the model is small whatever the pages hold.
 """
@@ -183,38 +184,33 @@ def fit(pages: DataFrame, features: int = TAGS) -> Weights:
 
     def count(batches):
         total: dict[str, list[int]] = {}
-        longest = 0
         for (pages_,) in slices(batches, 0):
             for page in pages_:
                 parts = sequence(page or "")
                 if not (span := labelled(parts)):
                     continue
-                run = 0
                 for i, (feature, text) in enumerate(parts):
                     own = total.setdefault(feature, [0, 0])
                     inside = span[0] < i < span[1]
                     n = len(text.split()) if feature.endswith(WORD) else 1
                     own[0 if inside else 1] += n
-                    run = 0 if inside else run + (n if feature == WORD else 0)
-                    longest = max(longest, run)
-        rows = [(k, a, b, longest) for k, (a, b) in total.items()]
-        columns = zip(*rows, strict=True) if rows else [[]] * 4
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["f", "a", "b", "run"])
-
-    counts = pages.select("html").mapInArrow(count, "f string, a long, b long, run long").groupBy("f")
-    counts = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("run").alias("run"))
+        rows = [(k, a, b) for k, (a, b) in total.items()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 3
+        kinds = (pa.string(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["f", "a", "b"])
+
+    counts = pages.select("html").mapInArrow(count, "f string, a long, b long").groupBy("f")
+    counts = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     rows = counts.orderBy(F.desc(F.col("a") + F.col("b")), "f").limit(features).collect()
     if not rows:
         return Weights({WORD: 1.0, "~" + WORD: -1.0})
-    run = max(r.run for r in rows) + 1
     weights = {}
     for r in rows:
         odds = math.log((r.a + PRIOR) / (r.b + PRIOR))
         if r.f.endswith(WORD):
             weights[r.f] = max(-1.0, min(1.0, odds)) if r.f != WORD else 1.0
-        else:  # a tag that never stands in main text outweighs the longest run of words beside it
-            weights[r.f] = -max(FAINT, min(1.0, -odds) * run)
+        else:
+            weights[r.f] = -max(FAINT, -odds)
     return Weights(weights)
 
 
