@@ -1,4 +1,4 @@
-"""Best-fit packing: local best fit, nearly full bins leave, underfull ones merge up a tree as items of the next round."""
+"""Best-fit packing: local best fit, nearly full bins leave, underfull ones are dealt anew as items of the next round."""
 
 from __future__ import annotations
 
@@ -18,7 +18,8 @@ from .common import slices
 
 CAPACITY = 4096
 GROUP_ITEMS = 50_000  # items one task packs; the number of groups follows from the number of items
-FAN_IN = 8  # groups that meet in one group of the next round
+ROUNDS = 8  # rounds after the first at most
+SAVED = 0.01  # a round that saves a smaller share of its bins is the last one
 SLACK = 16  # a bin with at most this many free tokens leaves at once
 TOKEN_CACHE = 300_000  # distinct words a task remembers
 #: What ``str.split`` cuts at although the tokenizer does not; such texts are cut by Unicode's White_Space instead.
@@ -114,9 +115,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     """``pieces`` (any columns with ``length``, at most ``capacity``) with ``sequence_id`` and ``offset``.
 
     Items are dealt into groups of about ``group_items`` by a hash of their content, so no value gathers in one task.
-    Each group packs best fit.  Bins with at most ``slack`` free tokens are done; the others are items of the next
-    round, in which FAN_IN groups meet, until one group is left.  Only lengths and bin numbers are moved, each round's
-    rows are written to the shared folder, and every round carries only the bins that are not yet full.  Ids of
+    Each group packs best fit.  Bins with at most ``slack`` free tokens are done, and so are those that have no room for
+    the smallest one left; the others are items of the next round, dealt anew into groups of that size.  The last round is
+    one of a single group, the ROUNDSth, or one that saves almost no bins.  Only lengths and bin numbers are moved, each
+    round's rows are written to the shared folder, and every round carries only the bins that are not yet full.  Ids of
     sequences are unique; offsets in a sequence are gapless from 0.  An empty table gives no rows.
     """
     pieces = pieces.drop("sequence_id", "offset")
@@ -139,15 +141,24 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
             }
         )
 
-    level = 0
+    level, before = 0, None  # items dealt in a later round
     while True:
         packed = moved.groupBy("grp").applyInArrow(fit, "item string, bin string, at long, fill long")
         packed = stage(packed.withColumn("bin", F.concat(F.lit(f"{level}:"), "bin")), f"bins-{level}")
         links.append(packed)
-        if groups == 1:
+        if groups == 1 or level == ROUNDS:
+            break
+        if before is not None and before - packed.select("bin").distinct().count() < SAVED * before:
             break
-        groups, level = -(-groups // FAN_IN), level + 1
         under = packed.where(F.col("fill") < capacity - slack).groupBy("bin").agg(F.first("fill").alias("length"))
+        least = under.agg(F.min("length")).first()[0]
+        if least is None:
+            break
+        under = under.where(F.col("length") <= capacity - least)
+        before = under.count()
+        if before < 2:
+            break
+        groups, level = -(-before // group_items), level + 1
         moved = under.select(F.col("bin").alias("item"), "length", F.pmod(F.xxhash64("bin"), F.lit(groups)).alias("grp"))
     placed = rows.join(links[0].select(F.col("item").alias("_item"), F.col("bin").alias("_bin"), F.col("at").alias("offset")), "_item")
     for link in links[1:]:  # follow merged bins upwards
