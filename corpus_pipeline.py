@@ -43,7 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("toxicity", toxicity), ("line dedup", lines), ("near-dedup", near_copies), ("mixing", mix), ("packing", pack)]
-ORACLE_SQL = None  # a trained model, sketches and tokenization are beyond SQL; tests/llm compare each stage
+ORACLE_SQL = None  # a trained model, sketches and tokenization are beyond SQL; tests/llm plant rows for the first three stages
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
