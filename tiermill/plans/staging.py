@@ -27,4 +27,15 @@ def stage(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tiermill-stage/{uuid.uuid4().hex}/{name}"
     (df.hint("rebalance", cluster_by) if cluster_by else df).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete what ``stage`` wrote for these; nothing may read them, or what was derived from them, any more."""
+    for df in staged:
+        spark, path = df.sparkSession, df.staged_at
+        jvm = spark._jvm  # Hadoop's file system is the one Spark wrote through
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
