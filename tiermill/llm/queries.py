@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, main_text, mixing, near_dup, packing, quality, repeats, top_k, toxicity, url_rules
+from . import fill_middle, line_dedup, main_text, mixing, near_dup, ngram_join, packing, quality, repeats, role_repair, top_k
+from . import toxicity, url_rules
 from .common import table
 
 
@@ -131,6 +132,45 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of every transformed text, and of the text rebuilt from it."""
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"), seed=42)
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with planted faults, by the hash of ``conv_id:turn``; a dropped turn stays as a row that is not ``there``."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))
+    code, role, text = F.crc32(key) % 20, F.coalesce("role", blank), F.coalesce("text", blank)
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (code != 0).alias("there"),
+        F.when(code == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("copies"),
+    )
+    return rows.withColumn("copy", F.explode("copies")).drop("copies", "copy")
+
+
+def op13_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair(damaged(table(spark, sf_dir, "conversations")), F.col("there"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -142,6 +182,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_role_repair": op13_role_repair,
 }
 #: Exact integer products of whole vectors.
 TOP_K_SQL = """
@@ -153,4 +196,8 @@ p AS (SELECT q.vec_id query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT s
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT rank, vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-SQL: dict[str, str] = {"op5_top_k": TOP_K_SQL, "op7_mixing": mixing.oracle(TOPIC_SQL, MIX)}
+SQL: dict[str, str] = {
+    "op5_top_k": TOP_K_SQL,
+    "op7_mixing": mixing.oracle(TOPIC_SQL, MIX),
+    "op11_fill_middle": fill_middle.oracle(42),
+}
