@@ -6,12 +6,11 @@ So the join takes several orders, and a pair is a candidate only if it shares a
 1. *Orders.*  All put rare tokens first, by counts of hashed tokens over the whole corpus, and break ties by different
    hashes.  Passages that many texts share so come last, and are in no prefix of a text with enough tokens of its own.
 2. *Index.*  The prefixes under the first order are an inverted index; texts with equal sets are one class.
-3. *Filters.*  Pairs of a posting list are cut by set sizes and by the prefixes under the other orders.
+3. *Filters.*  Pairs of a posting list are cut by set sizes and by where their prefixes meet under the other orders.
 4. *Verification* on full sets, which are computed for the classes of surviving pairs only.
 
-What is wanted are components, so not all pairs of a group are made: classes are compared with two pivots of their posting
-lists, then, in lists that still hold several components, with those lists' own pivots as long as this links anything, and
-what is left in pairs between components of one list.
+What is wanted are components, so not all pairs of a group are made: classes are first compared with two pivots of their
+posting lists, and then only pairs between components of a list that still holds several.
 """
 
 from __future__ import annotations
@@ -42,19 +41,31 @@ def _sets(batches, k: int):
         yield columns, [shingles(hashes.of(words_of(text)), k) for text in columns[1]]
 
 
+def _rolled(words: np.ndarray, k: int) -> np.ndarray:
+    """What ``shingles`` makes of every ``k`` consecutive words, repeats included."""
+    n = len(words) - k + 1
+    value = words[:n]
+    for i in range(1, k):
+        value = mix(value) + words[i : n + i]
+    return mix(value)
+
+
 def commonness(documents: DataFrame, k: int) -> np.ndarray:
     """For each of COUNTERS hashed tokens, how often it occurs as a power of two; 0 for those that do not stand out.
 
-    A task reports the counters that exceed its mean by far, so what reaches the driver is at most one row per counter.
-    The counts only order tokens: results do not depend on them, the number of candidates does.
+    A task reports the counters that stand out of its mean, so what reaches the driver is at most one row per counter.
+    The counts only order tokens: results do not depend on them, the number of candidates does.  So texts of a slice are
+    run together, whose few shingles across two texts do no harm.
     """
 
     def work(batches):
-        total = np.zeros(COUNTERS, np.int64)
-        for _, sets in _sets(batches, k):
-            total += np.bincount(np.concatenate(sets).view(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
+        total, hashes = np.zeros(COUNTERS, np.int64), WordHash(bytes.lower)
+        for _, texts in slices(batches):
+            words = hashes.of([w for text in texts for w in words_of(text)])
+            if len(words) >= k:
+                total += np.bincount(_rolled(words, k).view(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
         mean = total.mean()
-        high = np.flatnonzero(total > mean + 8 * math.sqrt(mean) + 8)
+        high = np.flatnonzero(total > mean + 4 * math.sqrt(mean) + 2)
         yield pa.RecordBatch.from_pydict({"counter": high.astype(np.int32), "n": total[high]})
 
     counted = documents.select(F.lit(0).alias("none"), "text").mapInArrow(work, "counter int, n long")
@@ -121,13 +132,22 @@ def _sizes_fit(n: str, m: str, percent: int) -> Column:
 
 
 def filtered(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The distinct pairs (a, b) whose sizes fit and that share a prefix token under all orders after the first."""
+    """The distinct pairs (a, b) whose sizes fit and whose prefixes meet early enough under all orders after the first.
+
+    What stands before the first common token of a set is not in the other, which bounds the intersection from above; each
+    side is bounded by itself, so 32-bit hashes that agree by chance only weaken the bound.
+    """
     for key in "ab":
         side = classes.select(F.col("class").alias(key), F.col("n").alias(f"n_{key}"), F.col("others").alias(f"others_{key}"))
         pairs = pairs.join(side, key)
     pairs = pairs.where(_sizes_fit("n_a", "n_b", percent))
     for i in range(orders - 1):
-        pairs = pairs.where(F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]))
+        left, right = F.col("others_a")[i], F.col("others_b")[i]
+        meets = F.arrays_overlap(left, right)
+        for own, other, n in ((left, right, "n_a"), (right, left, "n_b")):
+            at = F.array_position(own, F.array_intersect(own, other)[0])  # from 1
+            meets &= (100 + percent) * (F.col(n) + 1 - at) >= percent * (F.col("n_a") + F.col("n_b"))
+        pairs = pairs.where(meets)
     return pairs.select("a", "b", "n_a", "n_b")
 
 
@@ -160,17 +180,14 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
     discard(rows)
 
     token = Window.partitionBy("token")
-    index = classes.select("class", "n", F.explode("prefix").alias("token"))
+    index = classes.select("class", "n", F.posexplode("prefix").alias("at", "token"))
     shared = index.select(
-        "class",
-        "n",
-        "token",
+        "*",
         F.count("*").over(token).alias("members"),
-        F.min("class").over(token).alias("p"),
+        F.min(F.struct("at", "class")).over(token).getField("class").alias("p"),  # fewest rarer tokens: amid its copies
         F.max(F.struct("n", "class")).over(token).getField("class").alias("q"),
     )
     shared = stage(shared.where("members > 1"), "shared")
-    ordered = [F.greatest("class", "pivot").alias("a"), F.least("class", "pivot").alias("b")]
     links: list[DataFrame] = []
 
     def link(pairs: DataFrame, name: str) -> bool:
@@ -197,23 +214,14 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
         lists = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         return stage(members.join(lists.where("lo <> hi").select("token"), "token"), "unsettled")
 
-    ends = shared.groupBy("class", "n").agg(F.min("p").alias("p"), F.max("q").alias("q"))
-    pairs = ends.select("class", F.explode(F.array("p", "q")).alias("pivot")).where("class <> pivot")
-    more = link(pairs.select(*ordered).distinct(), "first")
+    pairs = shared.select("class", F.explode(F.array("p", "q")).alias("pivot")).where("class <> pivot")
+    link(pairs.select(F.greatest("class", "pivot").alias("a"), F.least("class", "pivot").alias("b")).distinct(), "pivots")
     label = labels()
-    left = unsettled(label)
-    while more:  # each class with the pivots of its lists, where those belong to another component
-        of_pivot = label.select(F.col("class").alias("pivot"), F.col("component").alias("c"))
-        pairs = left.select("class", "component", F.explode(F.array("p", "q")).alias("pivot")).where("class <> pivot").distinct()
-        pairs = pairs.join(of_pivot, "pivot", "left").where("component <> coalesce(c, pivot)")
-        if more := link(pairs.select(*ordered).distinct(), "pivots"):
-            discard(left)
-            label = labels()
-            left = unsettled(label)
-    other = left.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    rest = left.where("members > 2").join(other, "token")  # of two members, one is the other's pivot
-    rest = rest.where("class > b and component <> c").where(_sizes_fit("n", "m", percent))
-    if link(rest.select(F.col("class").alias("a"), "b").distinct(), "rest"):
+    left = unsettled(label).where("members > 2 and class not in (p, q)")  # pivots have met all of their lists
+    other = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component")))
+    rest = left.join(other, "token").where("class > class_b and component <> component_b").where(_sizes_fit("n", "n_b", percent))
+    rest = rest.where(f"{100 + percent} * least(n - at, n_b - at_b) >= {percent} * (n + n_b)")  # true of the first common token
+    if link(rest.select(F.col("class").alias("a"), F.col("class_b").alias("b")).distinct(), "rest"):
         label = labels()
 
     lowest = classes.select("class", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
