@@ -6,7 +6,8 @@ So the join takes several orders, and a pair is a candidate only if it shares a
 1. *Orders.*  All put rare tokens first, by counts of hashed tokens over the whole corpus, and break ties by different
    hashes.  Passages that many texts share so come last, and are in no prefix of a text with enough tokens of its own.
 2. *Index.*  The prefixes under the first order are an inverted index; texts with equal sets are one class.
-3. *Filters.*  Pairs of a posting list are cut by set sizes and by where their prefixes meet under the other orders.
+3. *Filters.*  Pairs of a posting list are cut by set sizes and by where their prefixes meet, under the first order at once
+   and then under the others: what stands before the first common token bounds the intersection.
 4. *Verification* on full sets, which are computed for the classes of surviving pairs only.
 
 What is wanted are components, so not all pairs of a group are made: classes are first compared with two pivots of their
@@ -131,11 +132,16 @@ def _sizes_fit(n: str, m: str, percent: int) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
 
 
+def _may_fit(percent: int) -> Column:
+    """Whether two members (n, at; n_b, at_b) of a posting list can be similar if its token is their first common one."""
+    bound = F.expr(f"{100 + percent} * least(n - at, n_b - at_b) >= {percent} * (n + n_b)")
+    return _sizes_fit("n", "n_b", percent) & bound
+
+
 def filtered(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> DataFrame:
     """The distinct pairs (a, b) whose sizes fit and whose prefixes meet early enough under all orders after the first.
 
-    What stands before the first common token of a set is not in the other, which bounds the intersection from above; each
-    side is bounded by itself, so 32-bit hashes that agree by chance only weaken the bound.
+    Each side is bounded by itself, so 32-bit hashes that agree by chance only weaken the bound.
     """
     for key in "ab":
         side = classes.select(F.col("class").alias(key), F.col("n").alias(f"n_{key}"), F.col("others").alias(f"others_{key}"))
@@ -184,8 +190,8 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
     shared = index.select(
         "*",
         F.count("*").over(token).alias("members"),
-        F.min(F.struct("at", "class")).over(token).getField("class").alias("p"),  # fewest rarer tokens: amid its copies
-        F.max(F.struct("n", "class")).over(token).getField("class").alias("q"),
+        F.min(F.struct("at", "class", "n")).over(token).alias("p"),  # fewest rarer tokens: amid its copies
+        F.max(F.struct("n", "class", "at")).over(token).alias("q"),
     )
     shared = stage(shared.where("members > 1"), "shared")
     links: list[DataFrame] = []
@@ -214,13 +220,17 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
         lists = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         return stage(members.join(lists.where("lo <> hi").select("token"), "token"), "unsettled")
 
-    pairs = shared.select("class", F.explode(F.array("p", "q")).alias("pivot")).where("class <> pivot")
-    link(pairs.select(F.greatest("class", "pivot").alias("a"), F.least("class", "pivot").alias("b")).distinct(), "pivots")
+    pivots = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n", f"{x}.at") for x in "pq"))).alias("pivot")
+    pairs = shared.select("class", "n", "at", pivots).select("class", "n", "at", *(F.col(f"pivot.{c}").alias(f"{c}_b") for c in ("class", "n", "at")))
+    pairs = pairs.where("class <> class_b").where(_may_fit(percent))
+    link(pairs.select(F.greatest("class", "class_b").alias("a"), F.least("class", "class_b").alias("b")).distinct(), "pivots")
     label = labels()
-    left = unsettled(label).where("members > 2 and class not in (p, q)")  # pivots have met all of their lists
-    other = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component")))
-    rest = left.join(other, "token").where("class > class_b and component <> component_b").where(_sizes_fit("n", "n_b", percent))
-    rest = rest.where(f"{100 + percent} * least(n - at, n_b - at_b) >= {percent} * (n + n_b)")  # true of the first common token
+    left = unsettled(label).where("members > 2 and class not in (p.class, q.class)")  # pivots have met all of their lists
+    before = F.lag("token").over(Window.partitionBy("class").orderBy("at"))
+    left = left.select("class", "n", "at", "token", "component", before.alias("before"))
+    other = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component", "before")))
+    rest = left.join(other, "token").where("class > class_b and component <> component_b").where(_may_fit(percent))
+    rest = rest.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
     if link(rest.select(F.col("class").alias("a"), F.col("class_b").alias("b")).distinct(), "rest"):
         label = labels()
 
