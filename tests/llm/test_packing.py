@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tiermill.llm import packing
 from tiermill.llm.packing import pack, tokenized
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +25,7 @@ def test_pieces_are_the_tokenizers_ids(spark, docs):
         ids = encoder.encode(text or "", add_special_tokens=False).ids + [1]
         want += [(doc, i // 4096, i, len(ids[i : i + 4096]), zlib.crc32(np.array(ids[i : i + 4096], "<u4").tobytes())) for i in range(0, len(ids), 4096)]
     got = tokenized(spark.createDataFrame(docs, "doc_id long, text string"), FILE).collect()
+    assert len(want) > len(docs)
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
@@ -45,5 +47,17 @@ def test_sequences_are_gapless_and_few(spark, docs, group_items):
     assert len(held) <= least * 1.05 + 2
 
 
+def test_cache_stays_bounded(monkeypatch):
+    """Words beyond the bound push the others out, before and not after; ids stay right."""
+    monkeypatch.setattr(packing, "WORD_CACHE", 50)
+    ids, encoder = packing.TokenIds(FILE), Tokenizer.from_file(FILE)
+    for at in range(0, 200, 20):
+        words = {f"Wört{i}.x" for i in range(at, at + 20)} | {"don't", "<|endoftext|>", "é", "(a)1", "\u0301x"}
+        ids.add(words)
+        assert len(ids) <= 50
+        for w in words:
+            assert ids[w] == np.array(encoder.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_empty_table(spark):
     assert pack(tokenized(spark.createDataFrame([], "doc_id long, text string"), FILE)).collect() == []

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,18 +50,24 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[list[list]]:
-    """The columns of the batches as Python lists, cut by rows so that no cut holds many more than SLICE_CHARS."""
+def slices(batches: Iterable[pa.RecordBatch], text: int = 1, chars: int = SLICE_CHARS) -> Iterator[list[list]]:
+    """The columns of the batches as Python lists, cut by rows so that no cut holds many more than ``chars``."""
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        start = size = 0
-        for i, value in enumerate(columns[text]):
-            size += len(value or "")
-            if size >= SLICE_CHARS:
-                yield [c[start : i + 1] for c in columns]
-                start, size = i + 1, 0
-        if start < batch.num_rows:
-            yield [c[start:] for c in columns]
+        sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            begun = sizes[start - 1] if start else 0
+            end = min(int(np.searchsorted(sizes, begun + chars)) + 1, batch.num_rows)
+            yield [c.to_pylist() for c in batch.slice(start, end - start).columns]
+            start = end
+
+
+def own_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has, so helper columns replace nobody's."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from tiermill.plans.staging import stage
 
-from .common import WORD_CACHE, slices
+from .common import WORD_CACHE, own_name, slices
 
 LEAST = 10  # different texts a template must recur in
 LEAD = 3  # leading words a leaf is keyed by
 CONSTANT = 0.7  # share of a template's words that must be constants
-WORDS = 4  # shorter lines are kept, unless a caller asks for all; the queries do
+WORDS = 1  # lines of fewer words are kept; blank ones always are
 WILD = 0  # stands for a variable field
 VARIABLE = re.compile(rb"[0-9]")
 
@@ -98,15 +98,16 @@ def drop_lines(documents: DataFrame, **settings) -> DataFrame:
     an empty text; null and empty texts stay as they are.  Repeated rows are treated alike.  ``settings``: see
     ``recurring``.  Other columns stay; an existing ``n_dropped`` is replaced.
     """
-    gone = recurring(documents, **settings).groupBy("doc_id", "whole").agg(F.collect_set("at").alias("_gone"))
-    gone = stage(gone.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), "_gone"), "gone")
-    base = documents.drop("n_dropped").withColumn("_text", F.xxhash64("text"))
-    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_whole")), "left")
-    rest = F.expr("array_join(filter(split(text, '\\\\n', -1), (x, i) -> not array_contains(_gone, i)), '\\n')")
-    changed = {"text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)}
-    changed["n_dropped"] = F.expr("if(_gone is null, 0, size(_gone))").cast("long")
+    id_, whole_, gone_, hash_ = (own_name(documents, c) for c in ("_id", "_whole", "_gone", "_hash"))
+    gone = recurring(documents, **settings).groupBy("doc_id", "whole").agg(F.collect_set("at").alias(gone_))
+    gone = stage(gone.select(F.col("doc_id").alias(id_), F.col("whole").alias(whole_), gone_), "gone")
+    base = documents.drop("n_dropped").withColumn(hash_, F.xxhash64("text"))
+    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(whole_)), "left")
+    rest = F.expr(f"array_join(filter(split(text, '\\\\n', -1), (x, i) -> not array_contains(`{gone_}`, i)), '\\n')")
+    changed = {"text": F.when(F.col(gone_).isNull(), F.col("text")).otherwise(rest)}
+    changed["n_dropped"] = F.expr(f"if(`{gone_}` is null, 0, size(`{gone_}`))").cast("long")
     out = joined.withColumns(changed)
     if "n_chars" in documents.columns:
-        renewed = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        renewed = F.when(F.col(gone_).isNull(), F.col("n_chars")).otherwise(F.length("text"))
         out = out.withColumn("n_chars", renewed.cast(documents.schema["n_chars"].dataType))
     return out.select(*[c for c in documents.columns if c != "n_dropped"], "n_dropped")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from tiermill.plans.staging import stage
 
+from .common import own_name
+
 ROUNDS = 20  # raking rounds; each one fits the source, language and topic marginals in turn
 STEPS = 12  # steps of the search for the sampling scale
 REST = "other"  # stands for languages and topics without a target
@@ -79,17 +81,18 @@ def mix_weights(documents: DataFrame, topic: Column, targets: Targets) -> DataFr
     """
     added = ["topic", "n_tokens", "weight", "probability", "sampled"]
     langs, topics = _names(targets.languages), _names(targets.topics)
+    cell_, source_, factor_, mass_, product_ = (own_name(documents, c) for c in ("_cell", "_source", "_a", "_m", "_x"))
     base = documents.withColumn("topic", topic)
     base = base.withColumns(
         {
             "n_tokens": words(),
-            "_cell": F.expr(f"{_place('lang', langs)} * {len(topics)} + {_place('topic', topics)}"),
-            "_source": F.coalesce("source", F.lit("")),
+            cell_: F.expr(f"{_place('lang', langs)} * {len(topics)} + {_place('topic', topics)}"),
+            source_: F.coalesce("source", F.lit("")),
         }
     )
     cells = [(x, y) for x in langs for y in topics]
-    sums = [F.expr(f"sum(CASE WHEN _cell = {i} THEN n_tokens ELSE 0 END)").cast("double") for i in range(len(cells))]
-    masses = base.groupBy("_source").agg(F.array(*sums).alias("m"))
+    sums = [F.expr(f"sum(CASE WHEN `{cell_}` = {i} THEN n_tokens ELSE 0 END)").cast("double") for i in range(len(cells))]
+    masses = base.groupBy(source_).agg(F.array(*sums).alias("m"))
     masses = masses.withColumn("mass", F.expr("aggregate(m, 0D, (total, v) -> total + v)"))
     masses = stage(masses.withColumn("want", F.expr(f"if(mass > 0, pow(mass, {targets.source_power!r}D), 0D)")), "mix-sources")
     total, norm = masses.agg(F.sum("mass"), F.sum("want")).first()
@@ -135,10 +138,10 @@ def mix_weights(documents: DataFrame, topic: Column, targets: Targets) -> DataFr
             break
         scale = (goal - capped) / free
 
-    joined = base.join(weighted.select("_source", "a", "m"), "_source", "left")
-    joined = joined.withColumn("_x", F.expr(f"if(m[_cell] > 0, a * {final}[_cell], NULL)"))
-    chance = F.coalesce(F.least(F.col("_x") * scale, F.lit(1.0)), F.lit(1.0))
-    kept = joined.withColumns({"weight": F.coalesce("_x", F.lit(1.0)), "probability": chance})
+    joined = base.join(weighted.select(source_, F.col("a").alias(factor_), F.col("m").alias(mass_)), source_, "left")
+    joined = joined.withColumn(product_, F.expr(f"if(`{mass_}`[`{cell_}`] > 0, `{factor_}` * {final}[`{cell_}`], NULL)"))
+    chance = F.coalesce(F.least(F.col(product_) * scale, F.lit(1.0)), F.lit(1.0))
+    kept = joined.withColumns({"weight": F.coalesce(product_, F.lit(1.0)), "probability": chance})
     kept = kept.withColumn("sampled", uniform("doc_id", targets.seed) < F.col("probability"))
     return kept.select(*[c for c in documents.columns if c not in added], *added)
 

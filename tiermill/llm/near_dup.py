@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tiermill.plans.staging import stage
 
-from .common import WordHash, mix, slices, words_of
+from .common import WordHash, mix, own_name, slices, words_of
 
 BANDS = 32
 MANTISSA = 10  # bits kept behind the leading one; 6 bits hold the count of leading zeros
@@ -225,10 +225,12 @@ def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80, bands: int
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "whole")
     first = stage(kinds.groupBy("component").agg(F.min(place).alias("first")), "first")
     placed = kinds.join(first, "component").withColumn("stays", place.eqNullSafe(F.col("first")))
-    placed = stage(placed.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), "rows", "stays"), "placed")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_whole"))
-    rest = documents.join(placed.where("not stays"), same, "left_anti")
-    repeated = placed.where("stays and rows > 1")
+    id_, whole_, stays_, rows_ = (own_name(documents, c) for c in ("_id", "_whole", "_stays", "_rows"))
+    placed = placed.select(F.col("doc_id").alias(id_), F.col("whole").alias(whole_), F.col("rows").alias(rows_), F.col("stays").alias(stays_))
+    placed = stage(placed, "placed")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(whole_))
+    rest = documents.join(placed.where(~F.col(stays_)), same, "left_anti")
+    repeated = placed.where(F.col(stays_) & (F.col(rows_) > 1))
     if repeated.isEmpty():
         return rest
     return rest.join(repeated, same, "left_anti").union(rest.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -17,11 +17,13 @@ from tiermill.plans.staging import stage
 from .common import slices
 
 CAPACITY = 4096
-GROUP_ITEMS = 50_000  # items one task packs; the number of groups follows from the number of items
-ROUNDS = 8  # rounds after the first at most
-SAVED = 0.01  # a round that saves a smaller share of its bins is the last one
+GROUP_ITEMS = 50_000  # items one task packs, about; the number of groups follows from the number of items
+BIN_BITS = 24  # a bin's number is its round, its group and, in these bits, its place in the group
+ROUND_BITS = 57  # bits below the round
 SLACK = 16  # a bin with at most this many free tokens leaves at once
-TOKEN_CACHE = 300_000  # distinct words a task remembers
+WORD_CACHE = 200_000  # distinct words a task remembers at most
+RUN_WORDS = 400  # words encoded in one call
+RUN_CHARS = 500_000  # characters of texts handled at once; a longer text is handled alone
 #: What ``str.split`` cuts at although the tokenizer does not; such texts are cut by Unicode's White_Space instead.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 NOT_SPACE = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -45,12 +47,18 @@ class TokenIds(dict):
         self.encoder = Tokenizer.from_file(path)
 
     def add(self, words: set[str]) -> None:
-        """Encode the words not yet known together."""
-        if len(self) > TOKEN_CACHE:
+        """Make room if need be, and encode the words not yet known, RUN_WORDS to a call."""
+        if len(self) + len(words) > WORD_CACHE:
             self.clear()
         new = [w for w in words if w not in self]
-        for word, ids in zip(new, self.encoder.encode_batch(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(ids.ids, "<u4").tobytes()
+        for at in range(0, len(new), RUN_WORDS):
+            run = new[at : at + RUN_WORDS]
+            found = self.encoder.encode(" ".join(run), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(w) + 1 for w in run)])  # a token belongs to the word it begins in
+            cuts = np.searchsorted(np.fromiter((lo for lo, _ in found.offsets), np.int64, len(found.ids)), begins).tolist()
+            data = np.array(found.ids, "<u4").tobytes()
+            for i, word in enumerate(run):
+                self[word] = data[4 * cuts[i] : 4 * cuts[i + 1]]
 
 
 def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
@@ -58,12 +66,13 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
 
     A document is its text's ids followed by ``end_id`` (a null or empty text is ``end_id`` alone).  One longer than
     ``capacity`` is cut into pieces of that many ids; the last may be shorter.  ``tokenizer`` is a file every executor
-    reaches.  Repeated rows and null ids give pieces of their own; other columns are ignored.
+    reaches.  Repeated rows and null ids give pieces of their own; other columns are ignored.  A task holds RUN_CHARS
+    characters of texts, or one longer text, and WORD_CACHE words besides.
     """
 
     def cut(batches):
         ids_of, end = TokenIds(tokenizer), np.array([end_id], "<u4").tobytes()
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, chars=RUN_CHARS):
             words = [split_text(t or "") for t in texts]
             ids_of.add({w for x in words for w in x})
             rows = []
@@ -74,8 +83,7 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
                     rows.append((doc, start // capacity, start, len(part) // 4, zlib.crc32(part)))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
@@ -114,41 +122,40 @@ def best_fit(lengths: Iterable[int], capacity: int = CAPACITY) -> tuple[list[int
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, slack: int = SLACK) -> DataFrame:
     """``pieces`` (any columns with ``length``, at most ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Items are dealt into groups of about ``group_items`` by a hash of their content, so no value gathers in one task.
+    Items are dealt into groups of about ``group_items`` by a hash of their row numbers, so no value gathers in one task.
     Each group packs best fit.  Bins with at most ``slack`` free tokens are done, and so are those that have no room for
-    the smallest one left; the others are items of the next round, dealt anew into groups of that size.  The last round is
-    one of a single group, the ROUNDSth, or one that saves almost no bins.  Only lengths and bin numbers are moved, each
-    round's rows are written to the shared folder, and every round carries only the bins that are not yet full.  Ids of
-    sequences are unique; offsets in a sequence are gapless from 0.  An empty table gives no rows.
+    the smallest one left; the others are items of the next round, dealt anew into groups of that size.  Rounds go on until
+    one is of a single group or saves no bin.  Only lengths and numbers are moved, each round's rows are written to the
+    shared folder, and every round carries only the bins that are not yet full.  A sequence's id is the number of its last
+    bin, so ids are unique; offsets in a sequence are gapless from 0.  Existing columns of these two names are replaced,
+    other columns stay, whatever they are called.  An empty table gives no rows.
     """
-    pieces = pieces.drop("sequence_id", "offset")
-    rows = stage(pieces.withColumn("_item", F.expr("uuid()")), "pieces")  # written once, so ids stay as they are
+    kept = [F.col(f"row.`{c.replace('`', '``')}`") for c in pieces.columns if c not in ("sequence_id", "offset")]
+    whole = pieces.select(F.struct("*").alias("row"), F.col("length"), F.monotonically_increasing_id().alias("item"))
+    rows = stage(whole, "pieces")  # written once, so row numbers stay as they are
     n = rows.count()
-    groups = max(1, -(-n // group_items))
-    moved = rows.select(F.col("_item").alias("item"), "length").withColumn("grp", F.pmod(F.xxhash64("item"), F.lit(groups)))
+    groups, level, before = max(1, -(-n // group_items)), 0, None
+    moved = rows.select("item", "length")
     links = []
 
     def fit(key, table):
         table = table.sort_by("item")
         bins, offsets, fills = best_fit(table["length"].to_pylist(), capacity)
-        name = np.array([f"{key[0].as_py()}.{b}" for b in range(len(fills))], object)
+        first = (key[1].as_py() << ROUND_BITS) + (key[0].as_py() << BIN_BITS)
         return pa.table(
             {
                 "item": table["item"],
-                "bin": pa.array(name[bins], pa.string()),
+                "bin": pa.array(np.array(bins, np.int64) + first),
                 "at": pa.array(offsets, pa.int64()),
                 "fill": pa.array(np.array(fills, np.int64)[bins]),
             }
         )
 
-    level, before = 0, None  # items dealt in a later round
     while True:
-        packed = moved.groupBy("grp").applyInArrow(fit, "item string, bin string, at long, fill long")
-        packed = stage(packed.withColumn("bin", F.concat(F.lit(f"{level}:"), "bin")), f"bins-{level}")
+        dealt = moved.withColumn("grp", F.pmod(F.xxhash64("item"), F.lit(groups))).withColumn("level", F.lit(level).cast("long"))
+        packed = stage(dealt.groupBy("grp", "level").applyInArrow(fit, "item long, bin long, at long, fill long"), f"bins-{level}")
         links.append(packed)
-        if groups == 1 or level == ROUNDS:
-            break
-        if before is not None and before - packed.select("bin").distinct().count() < SAVED * before:
+        if groups == 1 or (before is not None and packed.select("bin").distinct().count() == before):
             break
         under = packed.where(F.col("fill") < capacity - slack).groupBy("bin").agg(F.first("fill").alias("length"))
         least = under.agg(F.min("length")).first()[0]
@@ -159,11 +166,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
         if before < 2:
             break
         groups, level = -(-before // group_items), level + 1
-        moved = under.select(F.col("bin").alias("item"), "length", F.pmod(F.xxhash64("bin"), F.lit(groups)).alias("grp"))
-    placed = rows.join(links[0].select(F.col("item").alias("_item"), F.col("bin").alias("_bin"), F.col("at").alias("offset")), "_item")
+        moved = under.select(F.col("bin").alias("item"), "length")
+    placed = rows.select("row", "item").join(links[0].select("item", F.col("bin").alias("last"), F.col("at").alias("offset")), "item")
     for link in links[1:]:  # follow merged bins upwards
-        up = link.select(F.col("item").alias("_bin"), F.col("bin").alias("_up"), F.col("at").alias("_at"))
-        placed = placed.join(up, "_bin", "left").withColumns(
-            {"_bin": F.coalesce("_up", "_bin"), "offset": F.col("offset") + F.coalesce("_at", F.lit(0))}
-        ).drop("_up", "_at")
-    return placed.withColumn("sequence_id", F.xxhash64("_bin")).drop("_bin", "_item")
+        up = link.select(F.col("item").alias("last"), F.col("bin").alias("up"), F.col("at").alias("more"))
+        placed = placed.join(up, "last", "left").select(
+            "row", F.coalesce("up", "last").alias("last"), (F.col("offset") + F.coalesce("more", F.lit(0))).alias("offset")
+        )
+    return placed.select(*kept, F.col("last").alias("sequence_id"), "offset")
