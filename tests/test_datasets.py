@@ -12,7 +12,7 @@ from tiermill.operators import conforming as conform
 from tiermill.plans.datasets import DATASETS, Site, dealer, goals, kpi, people, product, reports, sales, store
 
 pytestmark = pytest.mark.usefixtures("interpreted")
-SITE = Site(own="Own", code="OWN", excluded_companies=("Sister%",))
+SITE = Site(own="Own", code="OWN", report_area="OWN", excluded_companies=("Sister%",))
 
 
 def text_frame(spark, columns, *records):

@@ -8,6 +8,7 @@ from .quality import (
     quarantine,
     quarantine_files,
     required,
+    split_stored,
     split_valid,
     tag_failures,
     us_date,

@@ -80,15 +80,56 @@ def _mark(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> Da
     return joined.select(*[F.col(f"c.{x}") for x in df.columns], F.coalesce("p.__hit", F.lit(False)).alias(name))
 
 
+COPIES = 10_000  # copies of a row made from one entry
+
+
+def _compared(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each distinct row of the two snapshots, which have the same columns: ``__now`` and ``__then``, how often it occurs in
+    either, and ``__known`` and ``__still``, whether its key does.
+
+    Rows are counted in one grouped pass over the tagged union, nulls equal to nulls, before anything is compared, so copies
+    never meet.  What a key needs to know is combined from those counts, and comes back in a join whose hot keys adaptive
+    execution splits: a window would save its shuffle but hold all rows of a key in one task.
+    """
+    cols = curr.columns
+    both = curr.withColumn("__c", F.lit(1)).unionByName(prev.select(*cols).withColumn("__c", F.lit(0)))
+    counted = both.groupBy(*cols).agg(F.sum("__c").alias("__now"), F.sum(1 - F.col("__c")).alias("__then"))
+    # One column needs both counts, so Spark finds the same shuffle of counts under it and reuses it.
+    where = F.bit_or((F.col("__then") > 0).cast("int") + (F.col("__now") > 0).cast("int") * 2)
+    of_key = counted.groupBy(*keys).agg(where.alias("__in")).alias("p")
+    joined = counted.alias("c").join(of_key, _same_key(keys, "c", "p"))
+    flags = (F.col("p.__in").bitwiseAND(bit) > 0 for bit in (1, 2))
+    out = joined.select(*[F.col(f"c.{x}") for x in [*cols, "__now", "__then"]], *(v.alias(n) for v, n in zip(flags, ("__known", "__still"), strict=True)))
+    return out.select(*[F.col(x).cast(curr.schema[x].dataType).alias(x) for x in cols], "__now", "__then", "__known", "__still")
+
+
+def _copies(df: DataFrame, n: str) -> DataFrame:
+    """Each row ``n`` times, by two steps, so that no array holds more than COPIES entries for a billion copies' worth."""
+    parts = F.explode(F.sequence(F.lit(0), F.expr(f"({n} - 1) div {COPIES}"))).alias("__part")
+    split = df.where(F.col(n) > 0).select("*", parts)
+    many = F.least(F.lit(COPIES).cast("long"), F.col(n) - F.col("__part") * COPIES)
+    return split.select("*", F.explode(F.sequence(F.lit(1).cast("long"), many)).alias("__copy")).drop("__part", "__copy")
+
+
 def _classify_multiset(prev, curr, keys, cols, deletes) -> DataFrame:
-    """Existence of the whole row and of the key in ``prev``; copies collapse before they are compared."""
-    marked = _mark(_mark(curr, prev, [*keys, *cols], "__same"), prev, keys, "__known")
-    change = F.when(F.col("__same"), "U").when(F.col("__known"), "C").otherwise("N")
-    out = marked.select(*curr.columns, change.alias("change"))
+    """Existence of the whole row and of the key in ``prev``."""
+    if set(curr.columns) != {*keys, *cols}:  # columns that are carried along but not compared
+        marked = _mark(_mark(curr, prev, [*keys, *cols], "__same"), prev, keys, "__known")
+        change = F.when(F.col("__same"), "U").when(F.col("__known"), "C").otherwise("N")
+        out = marked.select(*curr.columns, change.alias("change"))
+        if deletes:
+            gone = prev.alias("c").join(curr.alias("p"), _same_key(keys, "c", "p"), "left_anti")
+            out = out.unionByName(gone.select(*curr.columns).withColumn("change", F.lit("D")))
+        return out
+    rows = _compared(prev, curr, keys)
+    gone = F.col("__now") == 0
     if deletes:
-        gone = prev.alias("c").join(curr.alias("p"), _same_key(keys, "c", "p"), "left_anti")
-        out = out.unionByName(gone.select(*curr.columns).withColumn("change", F.lit("D")))
-    return out
+        rows = rows.where(~gone | ~F.col("__still")).withColumn("__now", F.when(gone, F.col("__then")).otherwise(F.col("__now")))
+        change = F.when(~F.col("__still"), "D").when(F.col("__then") > 0, "U")
+    else:
+        rows, change = rows.where(~gone), F.when(F.col("__then") > 0, "U")
+    change = change.when(F.col("__known"), "C").otherwise("N")
+    return _copies(rows, "__now").select(*curr.columns, change.alias("change"))
 
 
 def change_counts(classified: DataFrame) -> DataFrame:
@@ -113,8 +154,8 @@ def delta(
     if method == "except":
         if deletes:
             raise ValueError("deletes need method='fingerprint'")
-        marked = _mark(curr.subtract(prev.select(*curr.columns)), prev, list(keys), "__known")
-        return marked.select(*curr.columns, F.when(F.col("__known"), "C").otherwise("I").alias(flag))
+        new = _compared(prev, curr, list(keys)).where("__now > 0 and __then = 0")
+        return new.select(*curr.columns, F.when(F.col("__known"), "C").otherwise("I").alias(flag))
     if method != "fingerprint":
         raise ValueError(f"method must be 'fingerprint' or 'except', not {method!r}")
     changes = classify_changes(prev, curr, keys, deletes=deletes).filter(F.col("change") != "U")

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import as_col
+from ..staging import stage
 
-# Accepted date shapes in report text.
-US_DATE = r"^(0?[0-9]|1[0-2])/(0?[1-9]|[12][0-9]|3[01])/(19|20)[0-9]{2}$"
-ANY_DATE = r"[0-9][-/][0-9]{1,2}[-/](0[1-9]|[12][0-9]|3[01]|(19|20)[0-9]{2})"
+US_FORMAT = "M/d/yyyy"
+DATE_FORMATS = (US_FORMAT, "M-d-yyyy", "yyyy-M-d", "yyyy/M/d", "M/d/yy", "M-d-yy")  # of report text, before any time of day
+YEARS = (1900, 2099)  # dates outside are typing errors
 
 
 def numeric(c: Column | str) -> Column:
@@ -25,12 +26,19 @@ def numeric(c: Column | str) -> Column:
 
 
 def us_date(c: Column | str, optional: bool = False) -> Column:
-    """``MM/dd/yyyy`` text; null fails unless ``optional``."""
-    return F.coalesce(as_col(c).cast("string").rlike(US_DATE), F.lit(optional))
+    """``MM/dd/yyyy`` text of a real day, leading zeros optional; null fails unless ``optional``."""
+    text = as_col(c).cast("string")
+    return F.when(text.isNull(), F.lit(optional)).otherwise(_real_day(text, [US_FORMAT]))
 
 
 def date_like(c: Column | str) -> Column:
-    return F.coalesce(as_col(c).cast("string").rlike(ANY_DATE), F.lit(False))
+    """Text that begins with a date in one of DATE_FORMATS, a time of day behind it or not; null fails."""
+    return _real_day(F.split_part(F.replace(F.trim(as_col(c).cast("string")), F.lit("T"), F.lit(" ")), F.lit(" "), F.lit(1)), DATE_FORMATS)
+
+
+def _real_day(text: Column, formats: Sequence[str]) -> Column:
+    day = F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(F.year(day).between(*YEARS), F.lit(False))
 
 
 def required(*cols: Column | str) -> Column:
@@ -70,16 +78,28 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     return good, bad
 
 
+def split_stored(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) as ``split_valid`` gives them, from one scan: rows are tagged once and written by verdict into folders of
+    the shared store, and each side reads its own."""
+    tagged = tag_failures(df, rules).withColumn("__ok", F.size("failed_rules") == 0)
+    stored = stage(tagged, "split", partition_by="__ok")
+    good = stored.where(F.col("__ok")).drop("__ok", "failed_rules")
+    return good, stored.where(~F.col("__ok")).drop("__ok")
+
+
 def quarantine(bad: DataFrame, root: str, dataset: str, run_id: str) -> None:
-    """Append rejected rows as header CSV below ``root/<dataset>``; rule names are joined by ``|``."""
+    """Write rejected rows as header CSV to ``root/<dataset>/run=<id>``; rule names are joined by ``|``.
+
+    A run that is started again replaces its own rows and leaves those of other runs.
+    """
     rows = bad.withColumns({"failed_rules": F.concat_ws("|", "failed_rules"), "run_id": F.lit(run_id)})
-    rows.write.mode("append").option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/{dataset}")
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/{dataset}/run={run_id}")
 
 
 def quarantine_files(verdicts: DataFrame, root: str, dataset: str, run_id: str) -> None:
-    """Append the rejected files of a verdict table (``path, file_name, reasons, ok``) as JSON below ``root``."""
+    """Write the rejected files of a verdict table (``path, file_name, reasons, ok``) as JSON below ``root``, by run."""
     rejected = verdicts.filter(~F.col("ok")).drop("ok").withColumn("run_id", F.lit(run_id))
-    rejected.write.mode("append").json(f"{root.rstrip('/')}/{dataset}_files")
+    rejected.write.mode("overwrite").json(f"{root.rstrip('/')}/{dataset}_files/run={run_id}")
 
 
 def error_summary(errors: DataFrame) -> DataFrame:

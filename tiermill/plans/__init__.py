@@ -7,6 +7,6 @@ from .metrics import (
     publish_values,
     read_catalog,
 )
-from .staging import shared_folder, stage
+from ..staging import shared_folder, stage
 
 __all__ = [n for n in dir() if not n.startswith("_")]

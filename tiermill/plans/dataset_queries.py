@@ -6,6 +6,8 @@ documents for free text.  Importing this module adds its entries to ``QUERIES``
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from ..operators import conforming as conform
 from ..sources import feeds
 from .datasets import Site, dealer, goals, people, product, reports, sales, squash, store
 from .metrics import Metric, MetricEngine, publish_values
-from .table_queries import Tables, day, query
+from .lake import Lake, deliver_dealer, ingest_dealer, refine_dealer
+from .table_queries import Tables, day, query, scratch
 
 SITE = Site()
 
@@ -500,3 +503,57 @@ def dataset_kpi_delivery(spark, t):
     orders = orders.withColumn("report_date", day("o_orderdate"))
     metric = Metric("Order Value", "sum(CAST(o_totalprice AS DECIMAL(18,2)))", "orders", "storenumber, report_date")
     return publish_values(MetricEngine(spark, [metric], {"orders": orders}).run())
+
+
+# ------------------------------------------------------------------------------ a feed over two runs
+
+def dealer_report(t: Tables, rank: Column, keep: Column) -> DataFrame:
+    """A dealer report in the feed's own header: suppliers stand for dealers."""
+    filled = {
+        "Dealer Code": F.concat(F.lit("D"), "s_suppkey"),
+        "Company": F.lit("Own Mobile"),
+        "Rank Description": rank,
+        "Open Date": F.lit("1/1/2024"),
+        "DF": F.when(F.col("s_nationkey") < 12, "Yes").otherwise("no"),
+        "WS": F.lit(None).cast("string"),
+        "ATT Location Name": F.col("s_name"),
+        "ATT Location ID": text("s_nationkey"),
+    }
+    return padded(t("supplier").filter(keep), dealer.dealer_required(SITE), filled)
+
+
+#: What the query below delivers; other columns are empty.
+DEALER_SQL = {
+    "DLR_CD": "'D' || s_suppkey",
+    "CO_CD": "'4'",
+    "DF_IND": "CASE WHEN s_nationkey < 12 THEN '1' ELSE '0' END",
+    "OPEN_DT": "'1/1/2024'",
+    "RNK_DESC": "CASE WHEN s_acctbal > 5000 THEN 'Bulk' ELSE 'Closed' END",
+    "ATT_LOC_NM": "s_name",
+    "ATT_LOC_ID": "s_nationkey::VARCHAR",
+    "cdc_ind_cd": "CASE WHEN s_suppkey % 2 = 0 THEN 'C' ELSE 'I' END",
+}
+
+
+@query(
+    "dataset_dealer_code_runs",
+    f"""SELECT {", ".join(f"{DEALER_SQL.get(c, 'NULL')} AS {c}" for c in dealer.DEALER_DELIVERY)}
+FROM supplier WHERE s_suppkey % 2 = 1 OR s_acctbal > 5000""",
+)
+def dataset_dealer_code_runs(spark, t):
+    """D4 over two runs: the second takes in a new report and an older one that landed late, and delivers what changed."""
+    root = scratch(spark)
+    even = F.col("s_suppkey") % 2 == 0
+    now = F.when(F.col("s_acctbal") > 5000, "Bulk").otherwise("Closed")
+    runs = {
+        "run1": {"20240101": (F.lit("Closed"), even)},
+        "run2": {"20240301": (now, F.lit(True)), "20231201": (F.lit("Stale"), even)},
+    }
+    for run_id, reports_ in runs.items():
+        lake = Lake(spark, root, run_id, date(2024, 3, 1), SITE)
+        for day_, (rank, keep) in reports_.items():
+            dealer_report(t, rank, keep).write.csv(f"{lake.raw('dealer_codes')}/DealerCodes_{day_}.csv", header=True)
+        ingest_dealer(lake)
+        refine_dealer(lake)
+        deliver_dealer(lake)
+    return spark.read.option("header", True).csv(f"{root}/delivery/dealer_code/Current")

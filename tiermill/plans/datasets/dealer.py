@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ...functions import clean as fn
 from ...operators import cdc, dedup, quality, shape
 from ...operators import conforming as conform
-from ...sources.feeds import FeedSpec
+from ...sources.feeds import FeedSpec, column_or_null
 from .site import Site, squash
 
 # Header of the dealer-code feed, up to the site's own location column.
@@ -81,6 +81,10 @@ DEALER_DELIVERY = {
 }
 
 
+# The day of a report stands in the name of its file, or of the folder that holds its parts.
+DEALER_FILE_DATE = (r"DealerCodes[^/]*?(\d{8})", "yyyyMMdd", "reportdate", "file_path")
+
+
 def dealer_required(site: Site = Site()) -> list[str]:
     return [*DEALER_HEADER, f"{site.code} Loc", *DEALER_TAIL]
 
@@ -92,7 +96,13 @@ def dealer_feed(site: Site = Site()) -> FeedSpec:
     noise = {"Rank Description": [PENDING]}
     if site.excluded_companies:
         noise["Company"] = list(site.excluded_companies)
-    return FeedSpec("dealer_codes", columns=names, noise=noise)
+    return FeedSpec("dealer_codes", columns=names, noise=noise, file_date=DEALER_FILE_DATE, landed_at=True)
+
+
+def newest_report(raw: DataFrame) -> DataFrame:
+    """Of each dealer code the rows of its newest report: by the date in the file's name, then by when it landed."""
+    dated = raw.withColumn("__age", F.struct(*(column_or_null(raw, c, t) for c, t in (("reportdate", "date"), ("landed_at", "timestamp")))))
+    return dedup.keep_latest(dated, ["dealercode"], ["__age"], ties="all").drop("__age")
 
 
 def refine_dealer(raw: DataFrame, site: Site = Site()) -> DataFrame:
@@ -101,7 +111,7 @@ def refine_dealer(raw: DataFrame, site: Site = Site()) -> DataFrame:
         "dfindicator": fn.to_flag("df", (*YES_WORDS, "df"), NO_WORDS),
         "whitestoreindicator": fn.to_flag("ws", YES_WORDS, NO_WORDS),
     }
-    rows = conform.project(raw, {n: made.get(n) if c is None else c for n, c in DEALER_REFINED.items()})
+    rows = conform.project(newest_report(raw), {n: made.get(n) if c is None else c for n, c in DEALER_REFINED.items()})
     return dedup.drop_key_duplicates(rows.filter(quality.not_blank("dealercode")), ["dealercode"])
 
 
@@ -132,7 +142,7 @@ def refine_association(raw: DataFrame, site: Site = Site(), open_only: bool = Fa
     ``open_only`` limits the extra mapped row to open standard codes.
     """
     rank = F.col("rankdescription")
-    kept = raw.filter((rank.isin(*ACTIVE_RANKS) | rank.like("%Close%")) & F.col("company").like(f"{site.own}%"))
+    kept = newest_report(raw).filter((rank.isin(*ACTIVE_RANKS) | rank.like("%Close%")) & F.col("company").like(f"{site.own}%"))
     mapped_only = rank == MAPPED_ONLY
     status = F.when(rank.isin(*ACTIVE_RANKS), "Active").otherwise("Closed")
 
@@ -176,7 +186,9 @@ ACTUALS_FILE_DATE = (r"\.(\d{8})", "yyyyMMdd")
 
 def actuals_feed(site: Site = Site()) -> FeedSpec:
     # First words of title, header and footer rows.
-    noise = ["Histori%", "AT&T MyRe%", f"AR : {site.own[:4].upper()}%", "Generated%", "Locat%"]
+    noise = ["Histori%", "AT&T MyRe%", "Generated%", "Locat%"]
+    if site.report_area is not None:
+        noise.append(f"AR : {site.report_area}%")
     return FeedSpec(
         "carrier_actuals",
         schema=ACTUALS_SCHEMA,

@@ -130,7 +130,7 @@ FORECAST_FEED = FeedSpec(
 
 def split_forecast(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = df.select("date", fn.parse_percent("daypercenttoforecast").alias("daypercenttoforecast"))
-    return quality.split_valid(rows, {"date": quality.us_date("date")})
+    return quality.split_stored(rows, {"date": quality.us_date("date")})
 
 
 # Delivery names of the daily forecast.

@@ -80,7 +80,7 @@ def split_products(
         "identifier": (identifier, "ID"),
         "coupons": (coupons, "CouponSKU"),
     }
-    split = {n: quality.split_valid(df, {f"{k} missing": quality.required(k)}) for n, (df, k) in rules.items()}
+    split = {n: quality.split_stored(df, {f"{k} missing": quality.required(k)}) for n, (df, k) in rules.items()}
     return {n: s[0] for n, s in split.items()}, {n: s[1] for n, s in split.items()}
 
 

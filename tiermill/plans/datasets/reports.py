@@ -34,7 +34,7 @@ HEADCOUNT_MIN_ROWS = 2
 
 
 def split_headcount(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return quality.split_valid(df, {"store_name": quality.required("store_name")})
+    return quality.split_stored(df, {"store_name": quality.required("store_name")})
 
 
 def refine_headcount(good: DataFrame, stores: DataFrame, bridge: DataFrame, site: Site = Site()) -> DataFrame:
@@ -116,7 +116,7 @@ def refine_experience(
         {"StoreNumber": "store_number"},
         how="inner",
     )
-    good, bad = quality.split_valid(rows, {"store_number": quality.numeric("store_number")})
+    good, bad = quality.split_stored(rows, {"store_number": quality.numeric("store_number")})
     out = conform.enrich(
         good, stores, {"store_number": "StoreNumber"}, {"LocationName": "location_name", **site.geography("_")}
     )
@@ -182,7 +182,7 @@ def ingest_efficiency(raw: DataFrame, negative_parens: bool = False) -> DataFram
 
 
 def split_efficiency(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return quality.split_valid(
+    return quality.split_stored(
         df, {"workday_id": quality.not_blank("workdayid"), "report_date": quality.date_like("reportdate")}
     )
 

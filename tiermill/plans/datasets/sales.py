@@ -188,7 +188,7 @@ def ingest_leads(raw: DataFrame, run_date: str) -> DataFrame:
 
 
 def split_leads(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return quality.split_valid(df, {"enter_date": quality.date_like("enterdate")})
+    return quality.split_stored(df, {"enter_date": quality.date_like("enterdate")})
 
 
 def refine_leads(

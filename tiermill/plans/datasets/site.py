@@ -8,7 +8,8 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Site:
     """``own`` is the prefix of the retailer's own geography columns, as in ``<own>Market``; ``code`` the short
-    code in headers such as ``<code> Loc``."""
+    code in headers such as ``<code> Loc``; ``report_area`` is how the carrier's report titles name the retailer's area, if its
+    title rows are to be dropped."""
 
     own: str = "Own"
     code: str = "OWN"
@@ -18,6 +19,7 @@ class Site:
     sheet_system: str = "GoogleSheet"
     file_system: str = "GoogleFile"
     excluded_companies: tuple[str, ...] = ()
+    report_area: str | None = None
 
     @property
     def levels(self) -> list[str]:

@@ -92,7 +92,7 @@ def split_sources(
         ),
         "tv": (tv, {"store_number": quality.numeric("StoreNumber")}),
     }
-    split = {n: quality.split_valid(df, rules) for n, (df, rules) in checks.items()}
+    split = {n: quality.split_stored(df, rules) for n, (df, rules) in checks.items()}
     return {n: s[0] for n, s in split.items()}, {n: s[1] for n, s in split.items()}
 
 
@@ -365,7 +365,7 @@ MANAGER_ROLES = ["RVPID", "MDIRID", "DMID"]
 
 def management_sources(store_list: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) store-list rows by numeric manager ids; good keeps open stores only."""
-    good, bad = quality.split_valid(store_list, {r.lower(): quality.numeric(r) for r in MANAGER_ROLES})
+    good, bad = quality.split_stored(store_list, {r.lower(): quality.numeric(r) for r in MANAGER_ROLES})
     return good.filter(F.col("Status") == "Open"), bad
 
 

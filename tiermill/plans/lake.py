@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..sources import feeds, files
+from ..sources.manifest import Manifest
 from ..sources.sinks import deliver, register_tables
 from ..sources.snapshots import Snapshots
+from ..staging import stage
 from .datasets import dealer, goals, kpi, people, product, reports, sales, store
 from .datasets.site import Site
 from .metrics import publish_catalog, publish_values
@@ -42,6 +44,7 @@ class Lake:
     run_id: str
     run_date: date
     site: Site = field(default_factory=Site)
+    _taken: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False)
 
     # --- places
 
@@ -73,16 +76,32 @@ class Lake:
 
     # --- steps
 
+    def manifest(self, feed: str) -> Manifest:
+        return Manifest(self.spark, f"{self.root}/manifest/{feed}")
+
     def accepted(self, feed: str, **checks) -> list[str]:
-        """Paths of the landed files that pass the file checks; the others go to the errors folder."""
+        """Paths of the files landed since the runs before that pass the file checks; the others go to the errors folder.
+
+        The files count as taken once their rows are kept; where none passes there is nothing to keep, and they are at once.
+        """
         if not files.folder_exists(self.spark, self.raw(feed)):
             return []
-        verdicts = files.validate_files(self.spark, self.raw(feed), extension=".csv", **checks)
+        new = self.manifest(feed).pending(files.list_files(self.spark, self.raw(feed)), self.run_id)
+        verdicts = stage(files.validate_files(self.spark, stage(new, "landed"), extension=".csv", **checks), "verdicts")
         quality.quarantine_files(verdicts, self.errors, feed, self.run_id)
-        return files.accepted_paths(verdicts)
+        paths = files.accepted_paths(verdicts)
+        self._taken[feed] = verdicts
+        if not paths:
+            self._record(feed)
+        return paths
 
     def keep(self, feed: str, df: DataFrame) -> None:
         self.discovery(feed).write(df, self.run_id, self.run_date)
+        self._record(feed)
+
+    def _record(self, feed: str) -> None:
+        if feed in self._taken:
+            self.manifest(feed).record(self._taken.pop(feed), self.run_id)
 
     def ingest(
         self,
@@ -99,6 +118,7 @@ class Lake:
             return False
         df = feeds.read_csv(self.spark, paths, spec)
         if minimum_rows and feeds.is_empty_feed(df, minimum_rows):
+            self._record(feed)
             return False
         self.keep(feed, transform(df))
         return True
@@ -124,7 +144,7 @@ class Lake:
         quote_all: bool = False,
         keep_log: bool = True,
     ) -> None:
-        deliver(df, f"{self.root}/delivery/{dataset}", columns, quote_all=quote_all, keep_log=keep_log)
+        deliver(df, f"{self.root}/delivery/{dataset}", columns, quote_all=quote_all, keep_log=keep_log, run_id=self.run_id)
 
     def changes(self, dataset: str) -> tuple[DataFrame | None, DataFrame]:
         """(previous, current) for a delta delivery.
@@ -236,7 +256,7 @@ def deliver_store_hierarchy(lake: Lake) -> None:
 
 
 def refine_management_hierarchy(lake: Lake) -> None:
-    listed = lake.split(store.management_sources(lake.found("store_list")), "store_list")
+    listed = lake.split(store.management_sources(lake.found("store_list")), "store_management_hierarchy")
     out = store.management_hierarchy(lake.current("store"), listed, lake.current("employee"), lake.site)
     lake.refine("store_management_hierarchy", out, out.columns)
 

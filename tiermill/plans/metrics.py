@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import as_col, quoted
-from .staging import stage
+from ..staging import stage
 
 # Output columns of the long table.
 DIMENSIONS = {"sourceemployeeid": "int", "storenumber": "string", "report_date": "date"}
@@ -72,6 +72,8 @@ _AGGREGATE_CALL = re.compile(
     r"var_samp|approx_count_distinct|bool_and|bool_or)\s*\(",
     re.IGNORECASE,
 )
+# Distinct counts of one value, and calls whose results over parts combine to that over the whole.
+_ROLLS_UP = re.compile(r"count\s*\(\s*distinct\s+(?P<value>.*)\)|(?P<kind>sum|count|min|max)\s*\((?!\s*distinct\b).*\)", re.I | re.S)
 
 
 @dataclass(frozen=True)
@@ -280,13 +282,15 @@ class MetricEngine:
             where = _squeeze(first.filter)
         else:
             where = "WHERE " + " OR ".join(f"({c})" for c in conditions) if all(conditions) else ""
-        head = f"{group_by}, " if group_by else ""
-        tail = f" GROUP BY {group_by}" if group_by else ""
-        sql = f"SELECT {head}{', '.join(items)} FROM {first.from_clause} {where}{tail}"
+        source = f"FROM {first.from_clause} {where}"
         for name, alias in first.depends:
             results[name].createOrReplaceTempView(alias)
         try:
-            wide = self.spark.sql(sql)
+            wide = self._two_level(metrics, group_by, source, "" if one_where else None, present)
+            if wide is None:
+                head = f"{group_by}, " if group_by else ""
+                tail = f" GROUP BY {group_by}" if group_by else ""
+                wide = self.spark.sql(f"SELECT {head}{', '.join(items)} {source}{tail}")
         except PySparkException as e:
             raise ValueError(f"metrics {[m.name for m in metrics]}: {e}") from e
         for _, alias in first.depends:
@@ -294,6 +298,38 @@ class MetricEngine:
                 self.sources[alias].createOrReplaceTempView(alias)
         return self._to_long(wide, metrics, present)
 
+    def _two_level(
+        self, metrics: Sequence[Metric], group_by: str, source: str, only: str | None, present: Mapping[str, str]
+    ) -> DataFrame | None:
+        """Distinct counts of one expression, under any filters and next to sums, counts and extremes, without Expand.
+
+        First a row per group and distinct value, with partial results and one flag per filter; then counts of the flags.
+        Both levels combine before their shuffle, and input rows are not multiplied.  None where the shape does not fit.
+        """
+        calls = [_ROLLS_UP.fullmatch(m.expression.strip()) if m.single_call else None for m in metrics]
+        values = {_squeeze(c["value"]) for c in calls if c and c["value"]}
+        if None in calls or len(values) != 1 or "," in (value := values.pop()) or not group_by:
+            return None
+        parts, outer = [f"{value} AS __d"], []
+        for i, (m, call) in enumerate(zip(metrics, calls, strict=True)):
+            condition = m.condition if only is None else None
+            if call["value"]:
+                parts.append(f"{f'bool_or({condition})' if condition else 'true'} AS __m{i}")
+                outer.append(F.count_if(F.col(f"__m{i}") & F.col("__d").isNotNull()).alias(f"__m{i}"))
+            else:
+                tail = f" FILTER (WHERE {condition})" if condition else ""
+                parts.append(f"{call[0]}{tail} AS __m{i}")
+                roll = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[call["kind"].lower()]
+                outer.append(roll(f"__m{i}").alias(f"__m{i}"))
+        for condition, name in present.items():
+            parts.append(f"count(*) FILTER (WHERE {condition}) AS {name}")
+            outer.append(F.sum(name).alias(name))
+        inner = self.spark.sql(f"SELECT {group_by}, {', '.join(parts)} {source} GROUP BY {group_by}, {value}")
+        groups = [c for c in inner.columns if not c.startswith("__")]
+        if len(set(groups)) < len(groups):
+            return None
+        return inner.groupBy(*[F.col(quoted(c)) for c in groups]).agg(*outer)
+
     def _to_long(self, wide: DataFrame, metrics: Sequence[Metric], present: Mapping[str, str]) -> DataFrame:
         types = dict(wide.dtypes)
         grouped = [c for c in wide.columns if not c.startswith("__")]

@@ -18,7 +18,7 @@ from .. import operators as op
 from .. import sources as src
 from ..streaming import ingest_stream
 from .metrics import Metric, MetricEngine, publish_catalog, read_catalog
-from .staging import shared_folder
+from ..staging import shared_folder
 
 Tables = Callable[[str], DataFrame]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1472,3 +1472,83 @@ def ingest_stream_events(spark, t):
     stream = ingest_stream(spark, f"{root}/landing", spec, f"{root}/raw", f"{root}/checkpoint", max_files=2)
     stream.awaitTermination()
     return spark.read.parquet(f"{root}/raw").drop("batch_id")
+
+
+# ------------------------------------------------------------------- stores that survive runs and re-runs
+
+ORDER_COLUMNS = ["o_custkey", "o_orderkey", "o_orderstatus"]
+NEWEST_ORDER = "SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1"
+
+
+@query("merge_by_buckets", NEWEST_ORDER)
+def merge_by_buckets(spark, t):
+    """The newest order per customer: a first load, a merge of what followed, and the same merge started again."""
+    orders = t("orders").select(*ORDER_COLUMNS, day("o_orderdate").alias("o_orderdate"))
+    old = F.col("o_orderdate") < F.lit(CUT).cast("date")
+    table = src.BucketedTable(spark, scratch(spark), ["o_custkey"], 16)
+    newest = ["o_orderdate", "o_orderkey"]
+    table.merge(orders.filter(old), newest, "run1")
+    for _ in range(2):
+        table.merge(orders.filter(~old), newest, "run2")
+    return table.read().select(*ORDER_COLUMNS)
+
+
+@query(
+    "manifest_runs",
+    """
+SELECT l_returnflag AS part, CASE WHEN l_returnflag = 'N' THEN 'run2' ELSE 'run1' END AS run_id, count(*) AS n_rows
+FROM lineitem GROUP BY 1, 2 UNION ALL SELECT 'A', 'run2', count(*) FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 25
+""",
+)
+def manifest_runs(spark, t):
+    """Rows each run takes in: the second sees a new file and one that was landed again with other content."""
+    root = scratch(spark)
+    lines = t("lineitem").select("l_returnflag", "l_orderkey", "l_quantity")
+    manifest, taken = src.Manifest(spark, f"{root}/manifest"), []
+
+    def land(flag: str, rows: DataFrame) -> None:
+        rows.where(F.col("l_returnflag") == flag).drop("l_returnflag").write.mode("overwrite").csv(f"{root}/raw/{flag}", header=True)
+
+    def run(run_id: str) -> None:
+        new = manifest.pending(src.list_files(spark, f"{root}/raw"), run_id)
+        paths = [r.path for r in new.select("path").toLocalIterator()]
+        rows = spark.read.csv(paths, header=True, schema="l_orderkey long, l_quantity double")
+        rows = rows.select(F.regexp_extract("_metadata.file_path", "/raw/([A-Z])/", 1).alias("part"), F.lit(run_id).alias("run_id"))
+        rows.write.parquet(f"{root}/rows/{run_id}")
+        manifest.record(new.withColumn("ok", F.lit(True)), run_id)
+        taken.append(spark.read.parquet(f"{root}/rows/{run_id}"))
+
+    for flag in "AR":
+        land(flag, lines)
+    run("run1")
+    land("N", lines)
+    land("A", lines.where("l_quantity > 25"))
+    run("run2")
+    return taken[0].union(taken[1]).groupBy("part", "run_id").agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    "split_stored_sides",
+    RULES_SQL
+    + """ SELECT o_orderkey, NOT (low OR part OR urg) AS good, concat_ws('|', CASE WHEN low THEN 'store_number' END,
+  CASE WHEN part THEN 'open_date' END, CASE WHEN urg AND part THEN 'priority' END, CASE WHEN urg AND NOT part THEN 'amount' END) AS failed_rules
+FROM r""",
+)
+def split_stored_sides(spark, t):
+    """Both sides of a split that scans its input once."""
+    good, bad = op.split_stored(order_report(t("orders")), report_rules())
+    bad = bad.select("o_orderkey", F.lit(False).alias("good"), F.concat_ws("|", "failed_rules").alias("failed_rules"))
+    return good.select("o_orderkey", F.lit(True).alias("good"), F.lit("").alias("failed_rules")).unionByName(bad)
+
+
+@query(
+    "deliver_rerun",
+    "SELECT r_regionkey, r_name, run_id FROM region, (SELECT 'run1' AS run_id UNION ALL SELECT 'run2') WHERE run_id = 'run1' OR r_regionkey > 2",
+)
+def deliver_rerun(spark, t):
+    """The log of two deliveries, the first of which was made twice."""
+    root, regions = scratch(spark), t("region").select("r_regionkey", "r_name")
+    for run_id, rows in (("run1", regions), ("run1", regions), ("run2", regions.where("r_regionkey > 2"))):
+        src.deliver(rows, root, run_id=run_id)
+    kind = dict(regions.dtypes)["r_regionkey"]
+    return src.read_delivery(spark, f"{root}/Previous", f"r_regionkey {kind}, r_name string, run_id string")

@@ -24,9 +24,16 @@ from .files import (
     header_cells,
     layer_path,
     list_files,
+    path_key,
     route_files,
     validate_files,
 )
+from .buckets import (
+    BucketedTable,
+)
+from .manifest import (
+    Manifest,
+)
 from .snapshots import (
     Snapshots,
 )

@@ -33,7 +33,7 @@ class FeedSpec:
     ``schema`` declares types (DDL or StructType); without it all columns are text unless ``infer`` is set.
     ``columns`` renames source columns, ``noise`` lists LIKE patterns to drop per (source) column,
     ``not_blank`` names columns that must be filled.  ``file_date`` is (pattern with one group, date format)
-    for a report date carried by the file name.
+    for a report date carried by the file name.  ``landed_at`` adds the modification time of each row's file.
     """
 
     name: str
@@ -45,7 +45,8 @@ class FeedSpec:
     noise: Mapping[str, Sequence[str]] = field(default_factory=dict)
     keep_null_noise: bool = False
     not_blank: Sequence[str] = ()
-    file_date: tuple[str, str] | None = None
+    file_date: tuple[str, ...] | None = None
+    landed_at: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
 
 
@@ -64,6 +65,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], spec: FeedSpec) ->
     df = reader.options(**spec.options).csv(paths)
     if spec.file_date is not None:
         df = with_file_date(df, *spec.file_date)
+    if spec.landed_at:
+        df = df.withColumn("landed_at", F.col("_metadata.file_modification_time"))
     return tidy(df, spec)
 
 

@@ -63,19 +63,19 @@ def file_headers(spark: SparkSession, path: str | Sequence[str], line: int = 0)
 
 def file_inventory(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Size, modification time and header columns of each file."""
-    files = list_files(spark, path).withColumn("__key", _path_key(F.col("path")))
-    heads = file_headers(spark, path).select(_path_key(F.col("path")).alias("__key"), "columns")
+    files = list_files(spark, path).withColumn("__key", path_key(F.col("path")))
+    heads = file_headers(spark, path).select(path_key(F.col("path")).alias("__key"), "columns")
     return files.join(heads, "__key", "left").drop("__key")
 
 
-def _path_key(path: Column) -> Column:
+def path_key(path: Column) -> Column:
     """Path without scheme, so that file:/x, file:///x and escaped blanks compare equal."""
     return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^[a-z0-9]+:/+", "/")
 
 
 def validate_files(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str | Sequence[str] | DataFrame,
     *,
     extension: str | None = None,
     required: Sequence[str] = (),
@@ -83,14 +83,20 @@ def validate_files(
     date_pattern: tuple[str, str] | None = None,
     header_line: int = 0,
 ) -> DataFrame:
-    """Verdict per file: ``path, ok, reasons``.
+    """Verdict per file: ``path, file_name, size, modified, reasons, ok``.
 
-    ``date_pattern`` is (pattern with one group, date format) for the date in the file name.
+    ``path`` is a folder, several, or a listing as ``list_files`` gives it.  ``date_pattern`` is (pattern with one group,
+    date format) for the date in the file name.
     """
-    files = list_files(spark, path).withColumn("__key", _path_key(F.col("path")))
+    listed = path if isinstance(path, DataFrame) else list_files(spark, path)
+    if isinstance(path, DataFrame) and (required or min_columns is not None):
+        path = [r.path for r in listed.select("path").toLocalIterator()]  # names of the files to look into
+        if not path:
+            required, min_columns = (), None
+    files = listed.withColumn("__key", path_key(F.col("path")))
     empty = F.array().cast("array<string>")
     if required or min_columns is not None:
-        heads = file_headers(spark, path, header_line).select(_path_key(F.col("path")).alias("__key"), "columns")
+        heads = file_headers(spark, path, header_line).select(path_key(F.col("path")).alias("__key"), "columns")
         files = files.join(heads, "__key", "left").withColumn("columns", F.coalesce("columns", empty))
     reasons = []
     if extension is not None:
@@ -108,7 +114,7 @@ def validate_files(
         bad = F.try_to_timestamp(text, F.lit(date_format)).isNull()
         reasons.append(F.when(bad, F.lit("file date")))
     found = F.array_compact(F.array(*reasons)) if reasons else empty
-    return files.select("path", "file_name", found.alias("reasons")).withColumn("ok", F.size("reasons") == 0)
+    return files.select("path", "file_name", "size", "modified", found.alias("reasons")).withColumn("ok", F.size("reasons") == 0)
 
 
 def accepted_paths(verdicts: DataFrame) -> list[str]:

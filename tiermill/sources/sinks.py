@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.conforming import project
-from ..plans.staging import stage
+from ..staging import stage
 
 
 def write_csv(
@@ -26,8 +26,11 @@ def deliver(
     quote_all: bool = False,
     single_file: bool = False,
     keep_log: bool = True,
+    run_id: str | None = None,
 ) -> None:
-    """Overwrite ``path/Current`` and append the same rows to ``path/Previous``.
+    """Overwrite ``path/Current`` and add the same rows to the log below ``path/Previous``.
+
+    With ``run_id`` the rows are the log's folder of that run, which a repeated run replaces; without, they are appended.
 
     ``columns`` maps delivery names to source columns.  The delta is computed once and staged; without rows the
     current delivery is a header only and the log stays as it is.
@@ -37,7 +40,9 @@ def deliver(
         return write_csv(out, f"{path}/Current", "overwrite", quote_all, single_file)
     staged = stage(out, "delivery")
     write_csv(staged, f"{path}/Current", "overwrite", quote_all, single_file)
-    if not staged.isEmpty():
+    if run_id is not None:
+        write_csv(staged, f"{path}/Previous/run_id={run_id}", "overwrite", quote_all, single_file)
+    elif not staged.isEmpty():
         write_csv(staged, f"{path}/Previous", "append", quote_all, single_file)
 
 
