@@ -47,16 +47,23 @@ def test_sequences_are_gapless_and_few(spark, docs, group_items):
     assert len(held) <= least * 1.05 + 2
 
 
-def test_cache_stays_bounded(monkeypatch):
-    """Words beyond the bound push the others out, before and not after; ids stay right."""
+ODD = [
+    "don't I'LL _x_ naïve ﬁ 🙂👍🏽 <s> x<|endoftext|>y", "İstanbul ſt ǅ ½ Ⅷ ٣ 日本語 ß ẞ Σς ΑΣ", "a\u0301 e\u0301x \u0301x q\u0307\u0323",
+    "\x7f\x00 a\x1cb\x85c\xa0d\u2003e\u200bf", "Ünï “quoted” words " * 60, "A" * 500 + "1" * 50 + "-" * 40,
+]
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_ids_of_odd_texts(monkeypatch, plain):
+    """Both ways give the ids of whole texts, with a cache that is emptied at its bound."""
     monkeypatch.setattr(packing, "WORD_CACHE", 50)
     ids, encoder = packing.TokenIds(FILE), Tokenizer.from_file(FILE)
-    for at in range(0, 200, 20):
-        words = {f"Wört{i}.x" for i in range(at, at + 20)} | {"don't", "<|endoftext|>", "é", "(a)1", "\u0301x"}
-        ids.add(words)
-        assert len(ids) <= 50
-        for w in words:
-            assert ids[w] == np.array(encoder.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+    assert ids.pattern is not None
+    ids.pattern = ids.pattern if plain else None
+    every = [f"a{chr(i)}B {chr(i)}" for i in range(1, 0x800)] + [f"{chr(i)}\u0301\u0308" for i in range(33, 0x250)]
+    for text in [*ODD, *every, "".join(ODD), " ".join(f"Wört{i}.x" for i in range(300))]:
+        assert ids.of(text) == np.array(encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+        assert max(len(ids), len(ids.others)) <= 50
 
 
 def test_empty_table(spark):

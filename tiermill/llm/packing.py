@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +26,10 @@ GROUP_ITEMS = 50_000  # items one task packs, about; the number of groups follow
 BIN_BITS = 24  # a bin's number is its round, its group and, in these bits, its place in the group
 ROUND_BITS = 57  # bits below the round
 SLACK = 16  # a bin with at most this many free tokens leaves at once
-WORD_CACHE = 200_000  # distinct words a task remembers at most
-RUN_WORDS = 400  # words encoded in one call
+WORD_CACHE = 400_000  # distinct pieces of words, and distinct words that are not plain, a task remembers at most
 RUN_CHARS = 500_000  # characters of texts handled at once; a longer text is handled alone
+#: White space, printable ASCII and Latin letters, on whose kind, case and composition tables of any age agree.
+PLAIN = re.compile(r"[\t-\r -~\u00a1-\u012f\u0131-\u024f]*")
 #: What ``str.split`` cuts at although the tokenizer does not; such texts are cut by Unicode's White_Space instead.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 NOT_SPACE = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -34,31 +40,70 @@ def split_text(text: str) -> list[str]:
 
 
 class TokenIds(dict):
-    """The ids of a word, as little-endian unsigned 32-bit bytes, computed once per distinct word.
+    """The ids of texts, as little-endian unsigned 32-bit bytes; the dictionary holds those of distinct pieces of words.
 
-    The tokenizer cuts at white space before anything else and drops it, and neither its normaliser nor its merges look
-    across a cut, so a text's ids are those of its words in order (``tests/llm`` compare both ways).
+    Where the tokenizer's file says that it composes and lower-cases a text, keeps what one pattern matches and spells that in
+    bytes, PLAIN text is treated so here, and only distinct pieces go through its merges.  Other words go to the tokenizer,
+    which cuts at white space before anything else and drops it, and all do if the file says otherwise.  ``tests/llm``
+    compare both ways with whole texts.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.encoder = Tokenizer.from_file(path)
-
-    def add(self, words: set[str]) -> None:
-        """Make room if need be, and encode the words not yet known, RUN_WORDS to a call."""
-        if len(self) + len(words) > WORD_CACHE:
+        self.model = self.encoder.model
+        self.spelling = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.added = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
+        self.pattern = self._pattern()
+        self.others: dict[str, bytes] = {}
+
+    def _pattern(self) -> regex.Pattern | None:
+        """What the tokenizer keeps of a text, if it works in the steps named above."""
+        if self.encoder.normalizer is None or self.encoder.pre_tokenizer is None:
+            return None
+        before = json.loads(self.encoder.normalizer.__getstate__()).get("normalizers", [])
+        steps = json.loads(self.encoder.pre_tokenizer.__getstate__()).get("pretokenizers", [])
+        spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        if [x for x in before if x != spaces] != [{"type": "NFC"}, {"type": "Lowercase"}] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+            return None
+        split, spelling = steps
+        kept = split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"]
+        plain = not spelling["add_prefix_space"] and not spelling["use_regex"]
+        return regex.compile(split["pattern"]["Regex"]) if kept and plain else None
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= WORD_CACHE:
             self.clear()
-        new = [w for w in words if w not in self]
-        for at in range(0, len(new), RUN_WORDS):
-            run = new[at : at + RUN_WORDS]
-            found = self.encoder.encode(" ".join(run), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(w) + 1 for w in run)])  # a token belongs to the word it begins in
-            cuts = np.searchsorted(np.fromiter((lo for lo, _ in found.offsets), np.int64, len(found.ids)), begins).tolist()
-            data = np.array(found.ids, "<u4").tobytes()
-            for i, word in enumerate(run):
-                self[word] = data[4 * cuts[i] : 4 * cuts[i + 1]]
+        spelled = piece if piece.isascii() else self.spelling.pre_tokenize_str(piece)[0][0]
+        value = self[piece] = _bytes([t.id for t in self.model.tokenize(spelled)])
+        return value
+
+    def of(self, text: str) -> bytes:
+        if self._is_plain(text):
+            return self._plain(text)
+        return b"".join([self._plain(w) if self._is_plain(w) else self._whole(w) for w in split_text(text)])
+
+    def _is_plain(self, text: str) -> bool:
+        return self.pattern is not None and PLAIN.fullmatch(text) is not None and not any(token in text for token in self.added)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.pattern.findall(unicodedata.normalize("NFC", text).lower())))
+
+    def _whole(self, word: str) -> bytes:
+        if len(self.others) >= WORD_CACHE:
+            self.others.clear()
+        if word not in self.others:
+            self.others[word] = _bytes(self.encoder.encode(word, add_special_tokens=False).ids)
+        return self.others[word]
+
+
+def _bytes(ids: Iterable[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
@@ -67,17 +112,15 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
     A document is its text's ids followed by ``end_id`` (a null or empty text is ``end_id`` alone).  One longer than
     ``capacity`` is cut into pieces of that many ids; the last may be shorter.  ``tokenizer`` is a file every executor
     reaches.  Repeated rows and null ids give pieces of their own; other columns are ignored.  A task holds RUN_CHARS
-    characters of texts, or one longer text, and WORD_CACHE words besides.
+    characters of texts, or one longer text, and WORD_CACHE words of either kind besides.
     """
 
     def cut(batches):
         ids_of, end = TokenIds(tokenizer), np.array([end_id], "<u4").tobytes()
         for ids, texts in slices(batches, chars=RUN_CHARS):
-            words = [split_text(t or "") for t in texts]
-            ids_of.add({w for x in words for w in x})
             rows = []
-            for doc, split in zip(ids, words, strict=True):
-                data = b"".join(map(ids_of.__getitem__, split)) + end
+            for doc, text in zip(ids, texts, strict=True):
+                data = ids_of.of(text or "") + end
                 for start in range(0, len(data) // 4, capacity):
                     part = data[4 * start : 4 * (start + capacity)]
                     rows.append((doc, start // capacity, start, len(part) // 4, zlib.crc32(part)))
