@@ -180,3 +180,15 @@ def test_dates_that_cannot_be_parsed_are_rejected(spark):
         "2/30/2018": (False, False, False), "1/2/18": (False, True, False), "2018-01-07T10:11:12": (False, True, False),
         "1-7-2018 9:00": (False, True, False), "soon": (False, False, False), "": (False, False, False), None: (False, False, True),
     }
+
+
+def test_headcount_feed_of_one_row_is_kept(spark, tmp_path):
+    from tiermill.plans.datasets import reports
+
+    folder = tmp_path / "raw/regular/headcount"
+    folder.mkdir(parents=True)
+    header = ",".join(f'"{c}"' for c in reports.HEADCOUNT_NAMES)
+    (folder / "h.csv").write_text(header + "\n" + ",".join(["101 Main"] * len(reports.HEADCOUNT_NAMES)) + "\n")
+    lake = lk.Lake(spark, str(tmp_path), "r1", date(2024, 1, 1))
+    lk.ingest_headcount(lake)
+    assert lake.found("headcount").count() == 1

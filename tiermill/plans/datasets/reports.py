@@ -30,7 +30,7 @@ HEADCOUNT_NAMES = {
 HEADCOUNT_FEED = FeedSpec(
     "headcount", schema=", ".join(f"`{c}` string" for c in HEADCOUNT_NAMES), columns=HEADCOUNT_NAMES
 )
-HEADCOUNT_MIN_ROWS = 2
+HEADCOUNT_MIN_ROWS = 1
 
 
 def split_headcount(df: DataFrame) -> tuple[DataFrame, DataFrame]:
