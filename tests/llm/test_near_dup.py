@@ -3,6 +3,7 @@
 import re
 from itertools import combinations
 
+from tiermill.llm import near_dup
 from tiermill.llm.near_dup import near_duplicates
 
 SCHEMA = "doc_id long, text string, n long, digest string"
@@ -47,3 +48,25 @@ def test_chains_stars_and_edges(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_template_pages_with_copies_among_them(spark):
+    """Pages of one template fill buckets together; those of them that are copies still find each other, and no others."""
+    frame = [f"t{i}" for i in range(150)]
+    docs = [(i, " ".join(frame + [f"o{i}x{j}" for j in range(30)])) for i in range(60)]
+    docs += [(100 + i, " ".join([*docs[i][1].split(), "one", "more"])) for i in range(0, 60, 3)]
+    docs += [(200 + i, " ".join([f"y{i}", *docs[i][1].split()])) for i in range(0, 60, 5)]
+    assert run(spark, docs) == brute(docs, 4)
+
+
+def test_pages_of_one_template_make_few_pairs(spark, monkeypatch):
+    """What reaches the estimate grows with the pages, not with their square."""
+    seen = []
+    inner = near_dup.estimated
+    monkeypatch.setattr(near_dup, "estimated", lambda pairs, *rest: seen.append(pairs.count()) or inner(pairs, *rest))
+    pages = 300
+    frame = [f"t{i}" for i in range(300)]
+    docs = [(i, " ".join(frame + [f"o{i}x{j}" for j in range(60)])) for i in range(pages)]
+    assert all(kept for *_, kept in run(spark, docs))
+    assert sum(seen) <= 2 * (1 + near_dup.BANDS) * pages
+    assert seen[-1] == 0 or len(seen) < 3

@@ -50,6 +50,19 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """The sorted distinct k-word shingles of a sequence of word hashes; a shorter sequence is one shingle."""
+    if not len(words):
+        return words
+    if len(words) < k:
+        return np.array([xxhash.xxh3_64_intdigest(words.tobytes())], np.uint64)
+    n = len(words) - k + 1
+    value = words[:n]
+    for i in range(1, k):
+        value = mix(value) + words[i : n + i]
+    return np.unique(mix(value))
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int = 1, chars: int = SLICE_CHARS) -> Iterator[list[list]]:
     """The columns of the batches as Python lists, cut by rows so that no cut holds many more than ``chars``."""
     for batch in batches:

@@ -7,11 +7,12 @@
    similarity 0.8 misses all bands with probability 5e-8.
 3. *Estimate.*  The share of equal registers, corrected for registers that agree by collision, must come within MARGIN of
    the threshold.
-4. *Verification* on the full shingle sets, then connected components.
+4. *Verification* on the full shingle sets, made again from the texts of surviving pairs only; then connected components.
 
 Documents with equal sets form a class and are represented once.  Each class is first compared with two pivots; then,
-only in buckets that still hold several components, with those buckets' own pivots; and last, where that leaves several
-components, all pairs between components are compared.
+only in buckets that still hold several components, with those buckets' own pivots.  Members of a bucket that neither
+joins meet in pairs only where they share a shingle among their rarest, early enough for the threshold: pages of one
+template, each with words of its own, fill a bucket and make no pairs.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tiermill.plans.staging import stage
+from tiermill.plans.staging import discard, stage
 
-from .common import WordHash, mix, own_name, slices, words_of
+from .common import WordHash, mix, own_name, shingles, slices, words_of
+from .links import components
+from .ngram_join import commonness, full_sets, may_fit, prefixes, sizes_fit, verified
 
 BANDS = 32
 MANTISSA = 10  # bits kept behind the leading one; 6 bits hold the count of leading zeros
@@ -43,19 +47,6 @@ def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(seeds[:n]) | np.uint64(1), mix(seeds[n:])
 
 
-def shingles(words: np.ndarray, k: int) -> np.ndarray:
-    """The sorted distinct k-word shingles of a sequence of word hashes; a shorter sequence is one shingle."""
-    if not len(words):
-        return words
-    if len(words) < k:
-        return np.array([xxhash.xxh3_64_intdigest(words.tobytes())], np.uint64)
-    n = len(words) - k + 1
-    value = words[:n]
-    for i in range(1, k):
-        value = mix(value) + words[i : n + i]
-    return np.unique(mix(value))
-
-
 def registers(found: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """The compressed registers of a non-empty set, four to a long."""
     factors, addends = _constants(4 * bands)
@@ -73,18 +64,17 @@ def registers(found: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
-    """Per row: row (doc_id and text hash), digest of the set (null: empty set), n, bands and the set itself."""
+    """Per row: row (doc_id and text hash), digest of the set (null: empty set), n and bands; sets are not kept."""
 
     def work(batches):
         hashes = WordHash(bytes.lower)  # lower-cases A to Z only
         for ids, texts, wholes in slices(batches):
-            digest, size, sig, sets = [], [], [], []
+            digest, size, sig = [], [], []
             for text in texts:
                 found = shingles(hashes.of(words_of(text)), k)
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 size.append(len(found))
                 sig.append(registers(found, bands) if len(found) else [])
-                sets.append(found.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -92,111 +82,122 @@ def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
                     pa.array(digest, pa.binary()),
                     pa.array(size, pa.int64()),
                     pa.array(sig, pa.list_(pa.int64())),
-                    pa.array(sets, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "whole", "digest", "n", "bands", "shingles"],
+                ["doc_id", "whole", "digest", "n", "bands"],
             )
 
-    schema = "doc_id long, whole long, digest binary, n long, bands array<long>, shingles array<long>"
+    schema = "doc_id long, whole long, digest binary, n long, bands array<long>"
     return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(work, schema)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node of ``edges`` (a, b): the smallest node it reaches, by alternating star steps.
-
-    Every step is written to the shared folder.  Minima are combined before the shuffle; the joins are plain ones, whose
-    hot keys adaptive execution splits.
-    """
-    now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38)"))).first()
-        if mark == seen or not mark[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        seen = mark
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        now = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        now = stage(now, "large-star")
-        low = now.groupBy("a").agg(F.min("b").alias("m"))
-        small = now.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stage(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+def estimated(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) -> DataFrame:
+    """The pairs (a, b), with sizes, whose collision-corrected estimate comes within MARGIN of the threshold."""
+    for key in "ab":
+        pairs = pairs.join(classes.select(F.col("class").alias(key), F.col("n").alias(f"n_{key}"), F.col("bands").alias(f"bands_{key}")), key)
+    pairs = pairs.where(sizes_fit("n_a", "n_b", percent))
+    equal = F.expr(f"aggregate(zip_with(bands_a, bands_b, (x, y) -> {LANES}), 0, (t, v) -> t + v)") / (4.0 * bands)
+    # Two different minima of n and m values agree in zeros and mantissa with this probability.
+    collide = F.expr(f"{0.5 / math.log(2) / (1 << MANTISSA)!r}D * n_a * n_b / ((n_a + n_b) * double(n_a + n_b))")
+    return pairs.where((equal - collide) / (1 - collide) >= percent / 100 - MARGIN).select("a", "b", "n_a", "n_b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) -> DataFrame:
-    """The pairs (a, b) whose estimate passes and whose full sets are similar enough."""
+def rare_shingles(documents: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(class, n, at, token): the rare-first prefix of every class's set.  Similar sets have a token of it in common."""
+    sent = documents.sparkSession.sparkContext.broadcast(commonness(documents, k))
 
-    def side(columns: list[str], key: str) -> DataFrame:
-        return classes.select(F.col("digest").alias(key), *(F.col(c).alias(f"{c}_{key}") for c in columns))
+    def work(batches):
+        for batch in batches:
+            found, sets = batch.column(0).to_pylist(), batch.column(1)
+            cut = [prefixes(s.values.to_numpy().view(np.uint64), sent.value, percent, 1)[0].view(np.int64) for s in sets]
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], ["class", "n", "prefix"]
+            )
 
-    sketched = pairs.join(side(["n", "bands"], "a"), "a").join(side(["n", "bands"], "b"), "b")
-    equal = F.expr(f"aggregate(zip_with(bands_a, bands_b, (x, y) -> {LANES}), 0, (t, v) -> t + v)") / (4.0 * bands)
-    # Two different minima of n and m values agree in zeros and mantissa with this probability.
-    collide = F.expr(f"{0.5 / math.log(2) / (1 << MANTISSA)!r}D * n_a * n_b / ((n_a + n_b) * double(n_a + n_b))")
-    likely = sketched.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").where(
-        (equal - collide) / (1 - collide) >= percent / 100 - MARGIN
-    )
-    full = stage(likely.select("a", "b", "n_a", "n_b"), "likely")
-    full = full.join(side(["shingles"], "a"), "a").join(side(["shingles"], "b"), "b")
-    common = full.withColumn("common", F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long"))
-    return common.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
+    cut = full_sets(documents, classes, k).mapInArrow(work, "class long, n long, prefix array<long>")
+    return cut.select("class", "n", F.posexplode("prefix").alias("at", "token"))
 
 
 def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
     """Per row of ``documents``: doc_id, whole (hash of the text), n, component (null: no shingles) and component_id, the
     smallest doc_id of the component."""
+    documents = documents.select("doc_id", "text")
     rows = stage(sketches(documents, k, bands), "sketches")
-    some = rows.where("digest is not null")
-    classes = stage(some.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n", "bands", "shingles"))), "classes")
-    spread = classes.select("digest", "n", F.posexplode("bands").alias("i", "band"))
-    buckets = stage(spread.select(F.xxhash64("i", "band").alias("bucket"), "digest", "n"), "buckets")
+    grouped = rows.where("digest is not null").groupBy("digest").agg(
+        F.min(F.struct("doc_id", "whole")).alias("one"), F.min("doc_id").alias("lowest"), F.first("n").alias("n"), F.first("bands").alias("bands")
+    )
+    classes = stage(grouped.select(F.monotonically_increasing_id().alias("class"), "*").select("*", "one.*").drop("one"), "classes")
+    named = stage(rows.join(classes.select("digest", "class"), "digest", "left").select("doc_id", "whole", "n", "class"), "named")
+    discard(rows)
+
+    spread = classes.select("class", "n", F.posexplode("bands").alias("i", "band"))
+    buckets = spread.select(F.xxhash64("i", "band").alias("bucket"), "class", "n")
     pivots = buckets.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("digest").alias("p"), F.max(F.struct("n", "digest")).getField("digest").alias("q")
+        F.count("*").alias("members"), F.min(F.struct("class", "n")).alias("p"), F.max(F.struct("n", "class")).alias("q")
     )
     shared = stage(buckets.join(pivots.where("members > 1"), "bucket"), "shared")
-    own, other = F.col("digest"), F.col("pivot")
-    ordered = [F.greatest(own, other).alias("a"), F.least(own, other).alias("b")]
+    links: list[DataFrame] = []
+
+    def link(pairs: DataFrame, name: str) -> bool:
+        """Estimate and verify candidate pairs (class, other); whether any is linked."""
+        pairs = pairs.select(F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")).distinct()
+        likely = stage(estimated(pairs, classes, percent, bands), f"{name}-likely")
+        if likely.isEmpty():
+            return False
+        members = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        sets = stage(full_sets(documents, classes.join(members, "class"), k), f"{name}-sets")
+        links.append(stage(verified(likely, sets, percent), f"{name}-links"))
+        discard(sets, likely)
+        return not links[-1].isEmpty()
+
+    def labels() -> DataFrame:
+        """(class, component) of linked classes."""
+        edges = documents.sparkSession.createDataFrame([], "a long, b long")
+        for found in links:
+            edges = edges.union(found)
+        return stage(components(edges), "labels").withColumnRenamed("node", "class")
+
+    def mixed(label: DataFrame) -> DataFrame:
+        """The members, with their components, of the buckets that hold several components."""
+        members = shared.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        still = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return stage(members.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
 
     # Each class with the lowest and the highest pivot of all its buckets: two pairs a class at most.
-    ends = shared.groupBy("digest").agg(F.min("p").alias("p"), F.max("q").alias("q"))
-    pairs = ends.select("digest", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest")
-    edges = stage(_confirmed(stage(pairs.select(*ordered).distinct(), "pairs"), classes, percent, bands), "links")
-    label = stage(components(edges), "labels")
-
-    def mixed() -> DataFrame:
-        """The members, with their components, of the buckets that still hold several components."""
-        named = shared.join(label.withColumnRenamed("node", "digest"), "digest", "left")
-        named = named.withColumn("component", F.coalesce("component", "digest"))
-        still = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return stage(named.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
-
-    # What is left of those buckets: first each class with its buckets' pivots, then all pairs between components.
-    left = mixed()
-    pivot = label.select(F.col("node").alias("pivot"), F.col("component").alias("c"))
-    pairs = left.select("digest", "component", F.explode(F.array("p", "q")).alias("pivot")).where("pivot <> digest").distinct()
-    pairs = pairs.join(pivot, "pivot", "left").where("component <> coalesce(c, pivot)").select(*ordered).distinct()
-    found = stage(_confirmed(stage(pairs, "pivots"), classes, percent, bands), "pivot-links")
-    if not found.isEmpty():
-        edges = edges.union(found)
-        label = stage(components(edges), "labels")
-        left = mixed()
-    other = left.select("bucket", F.col("digest").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    more = left.where("members > 2").join(other, "bucket").where(  # of two members, one is the other's pivot
-        f"digest > b and component <> c and 100 * least(n, m) >= {percent} * greatest(n, m)"
-    )
-    more = stage(more.select(F.col("digest").alias("a"), "b").distinct(), "more")
-    found = stage(_confirmed(more, classes, percent, bands), "more-links")
-    if not found.isEmpty():
-        label = stage(components(edges.union(found)), "labels")
-
-    ids = some.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    ids = ids.join(label.withColumnRenamed("node", "digest"), "digest", "left")
-    ids = ids.withColumn("component", F.coalesce("component", "digest"))
-    lowest = ids.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = ids.join(lowest, "component").select("digest", "component", "component_id")
-    return rows.select("doc_id", "whole", "digest", "n").join(named, "digest", "left").drop("digest")
+    ends = shared.groupBy("class").agg(F.min("p").getField("class").alias("p"), F.max("q").getField("class").alias("q"))
+    link(ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other"), "ends")
+    label = labels()
+
+    # In buckets that still hold several components: each class with the bucket's pivots.
+    left = mixed(label)
+    pivot = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n") for x in "pq"))).alias("pivot")
+    pairs = left.select("class", "n", "component", pivot).select("class", "n", "component", F.col("pivot.class").alias("other"), F.col("pivot.n").alias("n_b"))
+    pairs = pairs.where("class <> other").where(sizes_fit("n", "n_b", percent)).select("class", "other", "component").distinct()
+    pairs = pairs.join(label.select(F.col("class").alias("other"), F.col("component").alias("c")), "other", "left")
+    if link(pairs.where("component <> coalesce(c, other)"), "pivots"):
+        label = labels()
+        left = mixed(label)
+
+    # What is left: members of such buckets, none of them a pivot, that share rare shingles early enough.
+    rest = left.where("class not in (p.class, q.class)")
+    crowded = rest.groupBy("bucket").agg(F.count("*").alias("rest")).where("rest > 1").select("bucket")
+    rest = stage(rest.join(crowded, "bucket", "left_semi").select("class", "component").distinct(), "rest")
+    if not rest.isEmpty():
+        index = stage(rare_shingles(documents, classes.join(rest, "class"), k, percent).join(rest, "class"), "rare-shingles")
+        lists = index.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        index = index.join(lists.select("token"), "token")
+        before = F.lag("token").over(Window.partitionBy("class").orderBy("at"))
+        index = stage(index.select("class", "n", "at", "token", "component", before.alias("before")), "lists")
+        other = index.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component", "before")))
+        met = index.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent))
+        met = met.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
+        if link(met.select("class", F.col("class_b").alias("other")), "rest"):
+            label = labels()
+
+    lowest = classes.select("class", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    first = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    of_class = lowest.join(first, "component").select("class", "component", "component_id")
+    return named.join(of_class, "class", "left").drop("class")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:

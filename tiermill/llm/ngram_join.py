@@ -27,8 +27,8 @@ from pyspark.sql.window import Window
 
 from tiermill.plans.staging import discard, stage
 
-from .common import WordHash, mix, slices, words_of
-from .near_dup import components, shingles
+from .common import WordHash, mix, shingles, slices, words_of
+from .links import components
 
 ORDERS = 3
 COUNTERS = 1 << 20  # counters of hashed tokens, so what is sent to tasks has a fixed size
@@ -111,7 +111,7 @@ def sketches(documents: DataFrame, common: np.ndarray, k: int, percent: int, ord
     return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(work, schema)
 
 
-def _full_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def full_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(class, tokens) of the wanted classes (class, digest, doc_id, whole), from the texts that represent them."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text", F.xxhash64("text").alias("hash"))
     wanted = wanted.select("class", F.col("digest"), F.col("doc_id").alias("id"), "whole")
@@ -128,14 +128,14 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return found.groupBy("class").agg(F.first("tokens").alias("tokens"))  # repeated rows have equal sets
 
 
-def _sizes_fit(n: str, m: str, percent: int) -> Column:
+def sizes_fit(n: str, m: str, percent: int) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
 
 
-def _may_fit(percent: int) -> Column:
+def may_fit(percent: int) -> Column:
     """Whether two members (n, at; n_b, at_b) of a posting list can be similar if its token is their first common one."""
     bound = F.expr(f"{100 + percent} * least(n - at, n_b - at_b) >= {percent} * (n + n_b)")
-    return _sizes_fit("n", "n_b", percent) & bound
+    return sizes_fit("n", "n_b", percent) & bound
 
 
 def filtered(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> DataFrame:
@@ -146,7 +146,7 @@ def filtered(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) ->
     for key in "ab":
         side = classes.select(F.col("class").alias(key), F.col("n").alias(f"n_{key}"), F.col("others").alias(f"others_{key}"))
         pairs = pairs.join(side, key)
-    pairs = pairs.where(_sizes_fit("n_a", "n_b", percent))
+    pairs = pairs.where(sizes_fit("n_a", "n_b", percent))
     for i in range(orders - 1):
         left, right = F.col("others_a")[i], F.col("others_b")[i]
         meets = F.arrays_overlap(left, right)
@@ -202,7 +202,7 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
         if pairs.isEmpty():
             return False
         members = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        sets = stage(_full_sets(documents, classes.join(members, "class"), k), f"{name}-sets")
+        sets = stage(full_sets(documents, classes.join(members, "class"), k), f"{name}-sets")
         links.append(stage(verified(pairs, sets, percent), f"{name}-links"))
         discard(sets, pairs)
         return not links[-1].isEmpty()
@@ -222,14 +222,14 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
 
     pivots = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n", f"{x}.at") for x in "pq"))).alias("pivot")
     pairs = shared.select("class", "n", "at", pivots).select("class", "n", "at", *(F.col(f"pivot.{c}").alias(f"{c}_b") for c in ("class", "n", "at")))
-    pairs = pairs.where("class <> class_b").where(_may_fit(percent))
+    pairs = pairs.where("class <> class_b").where(may_fit(percent))
     link(pairs.select(F.greatest("class", "class_b").alias("a"), F.least("class", "class_b").alias("b")).distinct(), "pivots")
     label = labels()
     left = unsettled(label).where("members > 2 and class not in (p.class, q.class)")  # pivots have met all of their lists
     before = F.lag("token").over(Window.partitionBy("class").orderBy("at"))
     left = left.select("class", "n", "at", "token", "component", before.alias("before"))
     other = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component", "before")))
-    rest = left.join(other, "token").where("class > class_b and component <> component_b").where(_may_fit(percent))
+    rest = left.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent))
     rest = rest.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
     if link(rest.select(F.col("class").alias("a"), F.col("class_b").alias("b")).distinct(), "rest"):
         label = labels()
