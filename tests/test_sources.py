@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tiermill import operators as op
 from tiermill import sources as src
+from tiermill.sources import files
 from tiermill.streaming import ingest_stream
 
 
@@ -61,6 +62,62 @@ def test_report_with_preamble(spark, write):
     assert rows(df) == [("101", "Main", "A, B"), ("205", "Oak", None)]
 
 
+def test_heads_read_the_first_block_only(write, monkeypatch):
+    path = write("big.csv", "a,b\r\nc,d\n" + "1,2\n" * 500_000)
+    asked = []
+    real = files._open
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def read(self, n):
+            asked.append(n)
+            return self.stream.read(n)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            self.stream.close()
+
+    monkeypatch.setattr(files, "_open", lambda p: Counted(real(p)))
+    assert files._first_lines(path, 2) == ["a,b", "c,d"] and sum(asked) == files.HEAD_BYTES
+    long = write("long.csv", "x" * 200_000 + "\n2\n")
+    assert [len(line) for line in files._first_lines(long, 5)] == [200_000, 1]
+    assert files._first_lines("unknown-store://bucket/x.csv", 1) is None
+
+
+def test_heads_of_files_only_spark_can_open(spark, write, tmp_path):
+    write("u/a b+c.csv", "\ufeffx,y\n1,2\n")
+    write("u/one.csv", "z")
+    listed = src.list_files(spark, f"{tmp_path}/u")
+    assert rows(src.file_heads(spark, listed, 2).select("lines")) == [(["x,y", "1,2"],), (["z"],)]
+    scanned = files._scanned_lines(spark, [r.path for r in listed.collect()], 1)
+    assert len(rows(scanned)) == 2 and ["z"] in [r.lines for r in scanned.collect()]
+    hidden = listed.withColumn("path", F.replace("path", F.lit("file:/"), F.lit("file:///"))).limit(0)
+    assert rows(src.file_heads(spark, hidden)) == [] and rows(src.file_headers(spark, hidden)) == []
+
+
+def test_every_file_has_its_own_header(spark, write, tmp_path):
+    write("r/a.20180107.csv", "Week 1,,\nLoc,Name,Amount\n101,Main,5\n")
+    write("r/b.20180108.csv", 'Week 2,,\nAmount,Loc,"City, State"\n7,205,"A, B"\nAmount,Loc,"City, State"\n')
+    write("r/c.20180109.csv", "Week 3,,\nLoc,Name,Amount\n9,Week 1,\n")
+    paths = src.accepted_paths(src.validate_files(spark, f"{tmp_path}/r", min_columns=3, header_line=1))
+    names = lambda head: src.clean_names(head[1], {" ": "", ",": ""})
+    got = src.read_reports(spark, paths, 2, names, file_date=(r"\.(\d{8})", "yyyyMMdd"))
+    assert rows(got, "Loc", "Name", "Amount", "CityState", "reportdate") == [
+        ("101", "Main", "5", None, date(2018, 1, 7)),
+        ("205", None, "7", "A, B", date(2018, 1, 8)),
+        ("9", "Week 1", None, None, date(2018, 1, 9)),
+    ]
+    short = write("short.csv", "Week 4,,\n")
+    with pytest.raises(ValueError, match="has no line 1"):
+        src.read_reports(spark, [short], 2, names)
+    with pytest.raises(ValueError, match="no files"):
+        src.read_reports(spark, [], 2, names)
+
+
 def test_empty_feed(spark, write):
     df = src.read_csv(spark, write("e.csv", "a,b\n1,2\n"), src.FeedSpec("e"))
     assert not src.is_empty_feed(df) and src.is_empty_feed(df, 2)

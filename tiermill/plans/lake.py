@@ -227,10 +227,12 @@ def ingest_store(lake: Lake) -> None:
     line = store.REAL_ESTATE_HEADER_LINE
     paths = lake.accepted("real_estate", required=store.real_estate_required(lake.site), header_line=line)
     if paths:
-        head = feeds.first_lines(lake.spark, paths[0], line + 1)
-        names = feeds.clean_names(head[line], store.HEADER_REPLACE, drop_empty=False)
-        names = [n or f"_c{i}" for i, n in enumerate(names)]
-        lake.keep("real_estate", feeds.read_report(lake.spark, paths, names, head))
+
+        def names(head: list[list[str]]) -> list[str]:
+            cells = feeds.clean_names(head[line], store.HEADER_REPLACE, drop_empty=False)
+            return [n or f"_c{i}" for i, n in enumerate(cells)]
+
+        lake.keep("real_estate", feeds.read_reports(lake.spark, paths, line + 1, names))
 
 
 STORE_FEEDS = ("location", "expert", "real_estate", "store_list", "tv")
@@ -395,12 +397,11 @@ def deliver_actuals(lake: Lake) -> None:
 
 
 def ingest_goals(lake: Lake) -> None:
-    paths = lake.accepted("store_goals")
+    line = goals.GOAL_HEADER_LINE
+    paths = lake.accepted("store_goals", min_columns=1, header_line=line)
     if paths:
-        line = goals.GOAL_HEADER_LINE
-        head = feeds.first_lines(lake.spark, paths[0], line + 1)
-        names = feeds.clean_names(head[line])
-        lake.keep("store_goals", feeds.read_report(lake.spark, paths, names, head))
+        rows = feeds.read_reports(lake.spark, paths, line + 1, lambda head: feeds.clean_names(head[line]))
+        lake.keep("store_goals", rows)
 
 
 def refine_goals(lake: Lake) -> None:
@@ -551,13 +552,14 @@ def deliver_employee_adjustments(lake: Lake) -> None:
 
 def ingest_store_adjustments(lake: Lake) -> None:
     lake.ingest(reports.MISC_FEED)
-    paths = lake.accepted("store_adjustments")
+    paths = lake.accepted("store_adjustments", min_columns=1, header_line=1)
     if paths:
-        head = feeds.first_lines(lake.spark, paths[0], 2)
-        merged = feeds.merged_header(lake.spark, paths[0])
-        names = feeds.clean_names(merged, reports.STORE_ADJUSTMENT_REPLACE)
-        rows = feeds.read_report(lake.spark, paths, names, head)
-        lake.keep("store_adjustments", feeds.with_file_date(rows, *reports.STORE_ADJUSTMENT_FILE_DATE))
+
+        def names(head: list[list[str]]) -> list[str]:
+            return feeds.clean_names(feeds.merged_cells(*head), reports.STORE_ADJUSTMENT_REPLACE)
+
+        rows = feeds.read_reports(lake.spark, paths, 2, names, file_date=reports.STORE_ADJUSTMENT_FILE_DATE)
+        lake.keep("store_adjustments", rows)
 
 
 def refine_store_adjustments(lake: Lake) -> None:

@@ -1409,6 +1409,82 @@ def validate_files(spark, t):
     return verdicts.select(part, F.array_join("reasons", "; ").alias("reasons"), "ok").distinct()
 
 
+def report_files(rows: DataFrame, head: list[str], path: str, name: str = "part") -> None:
+    """CSV lines of ``rows``, each file beginning with the lines of ``head``; ``name`` begins the names of the files."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # of its partition, which becomes one file
+    value = F.when(first, F.concat(F.lit("\n".join(head) + "\n"), line)).otherwise(line)
+    rows.select(value.alias("value")).write.option("mapreduce.output.basename", name).text(path)
+
+
+@query(
+    "mixed_layout_reports",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS priority,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status,
+  CASE WHEN o_orderkey % 2 = 0 THEN DATE '2018-01-07' ELSE DATE '2018-02-11' END AS reportdate FROM orders
+""",
+)
+def mixed_layout_reports(spark, t):
+    """Reports of two layouts (order and set of columns, title lines) in one folder; each file's header, in line 3, binds it."""
+    root = scratch(spark)
+    orders = t("orders")
+    report_files(
+        orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey", "o_orderpriority"),
+        ["Orders of January,,", ",,", "Order Id,Customer,Priority"],
+        f"{root}/a",
+        "orders.20180107",
+    )
+    report_files(
+        orders.filter("o_orderkey % 2 = 1").select("o_orderpriority", "o_orderstatus", "o_orderkey"),
+        ["Orders of February,,", "draft,,", "Priority,Status,Order Id"],
+        f"{root}/b",
+        "orders.20180211",
+    )
+    names = lambda head: src.clean_names(head[2], {" ": "_"}, lower=True)
+    paths = src.accepted_paths(src.validate_files(spark, root, required=["Order Id"], header_line=2))
+    rows = src.read_reports(spark, paths, 3, names, file_date=(r"\.(\d{8})", "yyyyMMdd"))
+    return rows.select("order_id", "priority", "customer", "status", "reportdate")
+
+
+@query(
+    "rejected_files",
+    """
+SELECT CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'too few columns' WHEN 2 THEN 'file date'
+    ELSE 'extension; missing columns: o_custkey; too few columns; file date' END AS reasons,
+  count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1
+""",
+)
+def rejected_files(spark, t):
+    """Files that fail on extension, columns or date; the rows of every file counted under its file's verdict."""
+    root = scratch(spark)
+    orders = t("orders")
+    kinds = [
+        (["o_orderkey", "o_custkey", "o_orderdate"], "orders.20180107", "csv"),
+        (["o_orderkey", "o_custkey"], "orders.20180107", "csv"),
+        (["o_orderkey", "o_custkey", "o_orderdate"], "orders.soon", "csv"),
+        (["o_orderkey"], "orders.notes", "text"),
+    ]
+    for i, (columns, name, kind) in enumerate(kinds):
+        rows = orders.filter(F.col("o_orderkey") % 4 == i).select(*columns)
+        if kind == "csv":
+            rows.write.option("mapreduce.output.basename", name).option("header", True).csv(f"{root}/{i}")
+        else:
+            report_files(rows, columns, f"{root}/{i}", name)
+    verdicts = src.validate_files(
+        spark, root, extension=".csv", required=["o_orderkey", "o_custkey"], min_columns=3,
+        date_pattern=(r"\.(\d{8})", "yyyyMMdd"),
+    ).select(src.path_key(F.col("path")).alias("file"), F.array_join("reasons", "; ").alias("reasons"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(root).select(
+        src.path_key(F.col("_metadata.file_path")).alias("file"),
+        F.split_part("value", F.lit(","), F.lit(1)).try_cast("long").alias("key"),
+    )
+    per_file = lines.filter(F.col("key").isNotNull()).groupBy("file").agg(F.count("*").alias("n"), F.sum("key").alias("k"))
+    found = per_file.join(verdicts, "file", "left").groupBy("reasons")
+    return found.agg(F.sum("n").alias("n_rows"), F.sum("k").alias("keys"))
+
+
 @query(
     "snapshot_history",
     f"""{book_sql(BEFORE_CUT, ALL_TIME)}

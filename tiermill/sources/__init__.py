@@ -8,9 +8,11 @@ from .feeds import (
     header_at,
     is_empty_feed,
     literal_table,
+    merged_cells,
     merged_header,
     read_csv,
     read_report,
+    read_reports,
     text_schema,
     tidy,
     with_file_date,
@@ -19,6 +21,7 @@ from .feeds import (
 from .files import (
     accepted_paths,
     file_headers,
+    file_heads,
     file_inventory,
     folder_exists,
     header_cells,

@@ -1,13 +1,14 @@
 """Reading messy report files with the built-in CSV source.
 
-Header lines are metadata: at most a handful of lines of one file reach the driver.  Rows never do.
+Header lines are metadata: at most a handful of lines of each file reach the driver.  Rows never do.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.clean import as_col
 from ..operators.quality import drop_noise
+from .files import file_heads
 
 # Reader options every feed starts from.
 CSV_OPTIONS = {
@@ -108,8 +110,15 @@ def header_at(spark: SparkSession, path: str, line: int = 0) -> list[str]:
 def merged_header(
     spark: SparkSession, path: str, sep: str = "|", bottom_only: Sequence[int] = (0,)
 ) -> list[str]:
-    """Two header lines joined per column as ``top|bottom``; columns without a top cell keep the bottom cell."""
+    """The two header lines of one file, joined by :func:`merged_cells`."""
     top, bottom = first_lines(spark, path, 2)
+    return merged_cells(top, bottom, sep, bottom_only)
+
+
+def merged_cells(
+    top: Sequence[str], bottom: Sequence[str], sep: str = "|", bottom_only: Sequence[int] = (0,)
+) -> list[str]:
+    """Two header lines joined per column as ``top|bottom``; columns without a top cell keep the bottom cell."""
     width = max(len(top), len(bottom))
     pad = lambda cells: [c.strip() for c in cells] + [""] * (width - len(cells))
     return [
@@ -161,6 +170,38 @@ def read_report(
     return df.filter(~joined.isin(sorted(drop)))
 
 
+def read_reports(
+    spark: SparkSession,
+    paths: Sequence[str],
+    lines: int,
+    names: Callable[[list[list[str]]], Sequence[str]],
+    *,
+    file_date: tuple[str, ...] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Reports of which every file has a header of its own: columns are bound by name, never by place.
+
+    ``names`` gives the column names for the cells of a file's first ``lines`` lines.  Files with the same names are one
+    scan; the scans are united by name, and a column a layout lacks is null in its rows.  ``file_date`` is that of
+    :class:`FeedSpec`.  A file with fewer lines raises ValueError; ``validate_files`` finds such files before.
+    """
+    if not paths:
+        raise ValueError("no files to read")
+    groups: dict[tuple[str, ...], tuple[list[str], set[tuple[str, ...]]]] = {}
+    for r in file_heads(spark, paths, lines).orderBy("path").toLocalIterator():
+        head = list(csv.reader(r.lines))
+        if len(head) < lines:
+            raise ValueError(f"{r.path} has no line {lines - 1}")
+        of_layout, heads = groups.setdefault(tuple(names(head)), ([], set()))
+        of_layout.append(r.path)
+        heads.update(map(tuple, head))
+    parts = []
+    for layout, (of_layout, heads) in groups.items():
+        part = read_report(spark, of_layout, layout, sorted(heads), options)
+        parts.append(part if file_date is None else with_file_date(part, *file_date))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def is_empty_feed(df: DataFrame, minimum: int = 1) -> bool:
     """True when the feed holds fewer than ``minimum`` rows; looks at ``minimum`` rows only."""
     return df.limit(minimum).count() < minimum

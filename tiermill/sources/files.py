@@ -1,16 +1,23 @@
 """File-level checks, inventory and routing of landed files.
 
-Listings use the binaryFile source without its content column, so no file body is read.
+Listings use the binaryFile source without its content column, so no file body is read.  Header checks read the first
+block of each file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
+HEAD_BYTES = 1 << 16  # read at once from the start of a file
 # A comma outside double quotes.
 _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -43,28 +50,82 @@ def header_cells(line: Column) -> Column:
     return F.transform(F.split(line, _COMMA), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
 
 
-def file_headers(spark: SparkSession, path: str | Sequence[str], line: int = 0) -> DataFrame:
-    """``path, columns``: the cells of header line ``line`` of each file.
+def _open(path: str):
+    """A stream of the decompressed bytes of one file."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem().open_input_stream(("/" + rest.lstrip("/")) if colon else path)
+    system, name = fs.FileSystem.from_uri(f"{scheme.replace('s3a', 's3')}:/{quote(rest)}")
+    return system.open_input_stream(name)
+
+
+def _first_lines(path: str, n: int) -> list[str] | None:
+    """The first ``n`` lines, or None where this process has no access to the store."""
+    try:
+        with _open(path) as stream:
+            found = b""
+            # One line more than asked for: a line is complete when the next one has begun.
+            while len(found.splitlines()) <= n and (block := stream.read(HEAD_BYTES)):
+                found += block
+    except (OSError, ValueError, NotImplementedError, pa.ArrowException):
+        return None
+    return [line.decode("utf-8", "replace") for line in found.removeprefix(b"\xef\xbb\xbf").splitlines()[:n]]
+
+
+def _scanned_lines(spark: SparkSession, paths: Sequence[str], n: int) -> DataFrame:
+    """``path, lines`` by Spark's own text scan, which reads whole files.
 
     Lines of a file's first split arrive in file order; the row limit per file is applied map-side.
     """
-    paths = [path] if isinstance(path, str) else list(path)
     lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(paths)
+        spark.read.text(list(paths))
         .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
         .filter(F.col("at") == 0)
         .withColumn("n", F.monotonically_increasing_id())
     )
     rank = F.row_number().over(Window.partitionBy("path").orderBy("n"))
-    picked = lines.withColumn("rn", rank).filter(F.col("rn") <= line + 1).filter(F.col("rn") == line + 1)
-    return picked.select("path", header_cells(F.col("value")).alias("columns"))
+    head = lines.withColumn("rn", rank).filter(F.col("rn") <= n).groupBy("path")
+    kept = head.agg(F.array_sort(F.collect_list(F.struct("rn", "value"))).alias("lines"))
+    return kept.select("path", F.col("lines.value").alias("lines"))
+
+
+def file_heads(spark: SparkSession, path: str | Sequence[str] | DataFrame, n: int = 1) -> DataFrame:
+    """``path, lines``: the first ``n`` lines (fewer in a shorter file) of every file, without reading the rest.
+
+    ``path`` is a folder, several, or a listing as ``list_files`` gives it.  Tasks open their files at the start and stop
+    after the last line wanted, so bytes read do not grow with the files.  Files in a store that only Spark can open are
+    scanned by Spark.
+    """
+    listed = path if isinstance(path, DataFrame) else list_files(spark, path)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                lines = pa.array([_first_lines(name, n)], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array([name]), lines], ["path", "lines"])
+
+    # A fixed number of tasks: a listing is a few bytes a file, which adaptive execution would put into one.
+    spread = listed.select("path").repartition(spark.sparkContext.defaultParallelism, "path")
+    heads = stage(spread.mapInArrow(work, "path string, lines array<string>"), "heads")
+    unread = [r.path for r in heads.filter(F.col("lines").isNull()).select("path").toLocalIterator()]
+    if not unread:
+        return heads
+    named = heads.select("path", "lines", path_key(F.col("path")).alias("__key"))
+    scanned = _scanned_lines(spark, unread, n).select(path_key(F.col("path")).alias("__key"), F.col("lines").alias("__lines"))
+    joined = named.join(scanned, "__key", "left")
+    return joined.select("path", F.coalesce("lines", "__lines", F.array().cast("array<string>")).alias("lines"))
+
+
+def file_headers(spark: SparkSession, path: str | Sequence[str] | DataFrame, line: int = 0) -> DataFrame:
+    """``path, columns``: the cells of header line ``line`` of each file that has one."""
+    heads = file_heads(spark, path, line + 1).filter(F.size("lines") > line)
+    return heads.select("path", header_cells(F.col("lines")[line]).alias("columns"))
 
 
 def file_inventory(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Size, modification time and header columns of each file."""
     files = list_files(spark, path).withColumn("__key", path_key(F.col("path")))
-    heads = file_headers(spark, path).select(path_key(F.col("path")).alias("__key"), "columns")
+    heads = file_headers(spark, files).select(path_key(F.col("path")).alias("__key"), "columns")
     return files.join(heads, "__key", "left").drop("__key")
 
 
@@ -89,14 +150,10 @@ def validate_files(
     date format) for the date in the file name.
     """
     listed = path if isinstance(path, DataFrame) else list_files(spark, path)
-    if isinstance(path, DataFrame) and (required or min_columns is not None):
-        path = [r.path for r in listed.select("path").toLocalIterator()]  # names of the files to look into
-        if not path:
-            required, min_columns = (), None
     files = listed.withColumn("__key", path_key(F.col("path")))
     empty = F.array().cast("array<string>")
     if required or min_columns is not None:
-        heads = file_headers(spark, path, header_line).select(path_key(F.col("path")).alias("__key"), "columns")
+        heads = file_headers(spark, listed, header_line).select(path_key(F.col("path")).alias("__key"), "columns")
         files = files.join(heads, "__key", "left").withColumn("columns", F.coalesce("columns", empty))
     reasons = []
     if extension is not None:
