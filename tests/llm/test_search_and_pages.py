@@ -28,6 +28,26 @@ def test_top_k_with_ties_and_bad_vectors(spark, n, wave):
     assert sorted(map(tuple, top_k(df, F.col("vec_id") % 10 == 0, head=6, wave=wave).collect())) == brute(rows, 10)
 
 
+def test_top_k_of_mixed_widths_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(1, 60)] + [(0, [1.0]), (10, [2.0]), (7, [3.0])]
+    rows += [(20, [0.5] * 6), (21, rows[4][1]), (21, rows[4][1]), (None, [9.0] * 6), (60, []), (70, [1.0] * 9)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    ints = [(i, np.floor(256 * np.array(v, np.float32).astype(float))) for i, v in rows if i is not None and v]
+    want = []
+    for q in range(0, 80, 10):
+        pairs = [(-int(x @ y), j) for i, x in ints if i == q for j, y in ints if j != q and len(x) == len(y)]
+        want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(sorted(pairs)[:5])]
+    for wave in (20_000, 2):
+        assert sorted(map(tuple, top_k(df, F.col("vec_id") % 10 == 0, head=3, wave=wave).collect())) == sorted(want)
+
+
+def test_top_k_refuses_scores_that_are_not_exact(spark):
+    df = spark.createDataFrame([(0, [1e10, 1.0], "x"), (1, [1.0, 1.0], "x")], SCHEMA)
+    with pytest.raises(ValueError, match="would not be exact"):
+        top_k(df, F.col("vec_id") % 10 == 0)
+
+
 def test_top_k_of_an_empty_table(spark):
     assert top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 10 == 0).collect() == []
 

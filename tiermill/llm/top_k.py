@@ -11,6 +11,9 @@ the queries.  A wave starts from the k-th best scores among the LONGEST vectors
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,10 +27,11 @@ LONGEST = 2_000  # vectors that give the first thresholds
 HEAD = 16  # rotated components of the partial sums
 BLOCK = 2_048  # vectors and queries compared at once
 SLACK = 1e-6  # relative room for rounding in bounds
+EXACT = 2.0**53  # squared length below which every product, and every part of its sum, is an exact double
 
 
 def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v, length2) with v = floor(scale * x); rows with a null or non-finite component or null id do not count."""
+    """(vec_id, v, length2, width) with v = floor(scale * x); rows with a null or non-finite component or null id do not count."""
     usable = F.expr(
         "vec_id is not null and embedding is not null and size(embedding) > 0 and "
         "forall(embedding, x -> x is not null and not isnan(x) and abs(double(x)) < double('infinity'))"
@@ -35,7 +39,7 @@ def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     rows = vectors.where(F.coalesce(usable, F.lit(False))).select(
         F.col("vec_id").cast("long"), F.expr(f"transform(embedding, x -> double(floor(double(x) * {scale})))").alias("v")
     )
-    return rows.withColumn("length2", F.expr("aggregate(v, 0D, (t, x) -> t + x * x)"))
+    return rows.withColumns({"length2": F.expr("aggregate(v, 0D, (t, x) -> t + x * x)"), "width": F.size("v")})
 
 
 def gram(rows: DataFrame, width: int) -> np.ndarray:
@@ -109,18 +113,34 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, head: int
     """(query_id, rank, vec_id, score): the k highest integer inner products of every query with other rows.
 
     ``is_query`` is a condition on vec_id.  A query's own id is no candidate; fewer candidates give fewer rows, ties go to
-    smaller ids.  Ids are unique keys: of repeated rows with one id one counts.  Vectors of another length than the first
-    row's (by id) take no part.  An empty table gives no rows.  Other columns are ignored.
+    smaller ids.  Repeated rows of one id are candidates each, and queries whose results share one ranking.  Vectors have
+    products with those of their own width only: each width is searched by itself, so a query without others of its width
+    has no rows.  Scores are exact; vectors so long that they might not be raise ValueError.  An empty table gives no rows.
+    Other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = integers(vectors, scale)
-    schema = "query_id long, rank int, vec_id long, score long"
-    first = rows.agg(F.min_by(F.size("v"), "vec_id")).first()[0]
-    if not first:
-        return spark.createDataFrame([], schema)
-    width = int(first)
-    rows = rows.where(F.size("v") == width).groupBy("vec_id").agg(F.min("v").alias("v"), F.min_by("length2", "v").alias("length2"))
-    rows = stage(rows, "vectors")
+    rows = stage(integers(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    found = rows.groupBy("width").agg(F.max("length2").alias("most")).orderBy("width").collect()  # a number per width
+    if any(not r.most < EXACT for r in found):
+        raise ValueError(f"squared lengths reach {max(r.most for r in found)}: scores beyond {EXACT:.0f} would not be exact")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    parts = []
+    for r in found:
+        for best in _waves(rows.where(F.col("width") == r.width), is_query, k, head, wave, r.width):
+            ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            parts.append(stage(ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score"), "top"))
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if len(parts) == 1:
+        return parts[0]
+    # Rows of one query id may have been in several waves, or have several widths.
+    again = reduce(DataFrame.union, parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return again.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def _waves(rows: DataFrame, is_query, k: int, head: int, wave: int, width: int) -> Iterator[DataFrame]:
+    """(query_id, vec_id, score) of every wave of queries: the best of each part of ``rows``, all of one width."""
+    spark = rows.sparkSession
     turn = np.linalg.eigh(gram(rows, width))[1][:, ::-1].copy()
     head = min(head, width)
 
@@ -130,9 +150,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, head: int
     long_ids, long_x = unpacked(rows.orderBy(F.desc("length2"), "vec_id").limit(LONGEST).collect())  # bounded
     queries = rows.where(is_query)
     waves = max(1, -(-queries.count() // (wave // 2)))  # half, as hashing deals them unevenly
-    out = []
     for w in range(waves):
-        q_ids, q = unpacked(queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == w).collect())  # about wave / 2 rows
+        q_ids, q = unpacked(queries.where(F.pmod(F.xxhash64("row"), F.lit(waves)) == w).collect())  # about wave / 2 rows
         if not len(q_ids):
             continue
         floor = search(long_x, long_ids, q, q_ids, turn, head, k, np.full(len(q), -np.inf)).scores[:, -1]
@@ -159,13 +178,4 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, head: int
             if size:
                 yield flush()
 
-        out.append(rows.select("vec_id", "v").mapInArrow(scan, "query_id long, vec_id long, score long"))
-    if not out:
-        return spark.createDataFrame([], schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = [x.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) for x in out]
-    result = None
-    for x in ranked:
-        x = stage(x.select("query_id", F.col("rank").cast("int"), "vec_id", "score"), "top")
-        result = x if result is None else result.union(x)
-    return result
+        yield rows.select("vec_id", "v").mapInArrow(scan, "query_id long, vec_id long, score long")
