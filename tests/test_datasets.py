@@ -331,6 +331,18 @@ def test_category(spark, write):
     ]
     deep = curr.filter("level_eight_id is not null").first()
     assert (deep.level_eight_id, deep.level_eight_name, deep.level_nine_id) == ("1010203040506070", "G", "")
+    ten, eleven = "10" * 10, "10" * 11
+    path = " >> ".join("ABCDEFGHI")
+    deeper = spark.createDataFrame(
+        [(ten, "d", path, "1", "TRUE"), (eleven, "d", "A", "1", "TRUE"), ("30", "d", path + ">>J", "1", "TRUE"), ("40", "d", None, None, None)],
+        "id string, description string, categorypath string, parentid string, enabled string",
+    )
+    good, bad = product.split_category(deeper)
+    assert rows(bad, "id", F.col("failed_rules")[0]) == [(eleven, "id of more than 10 levels"), ("30", "path of more than 9 names")]
+    kept = product.refine_category(good, SITE).filter("category_Id <> '20'")
+    assert rows(kept, "category_Id", "level_nine_id", "level_nine_name", "level_ten_id", "level_ten_name") == [
+        (ten, "10" * 9, "H", ten, "I"), ("40", "", " ", "", " "),
+    ]
     delta = product.category_delta(curr.filter("category_Id <> '20'"), curr)
     assert rows(delta, "CAT_ID", "CAT_PATH", "PARNT_CAT_ID", "CDC_IND_CD") == [("20", "NA", "NA", "I")]
 

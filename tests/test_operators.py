@@ -194,6 +194,11 @@ def test_explode_list(spark):
     got = op.explode_list(df, "assigned", primary="prim", unknown=-2, out="s", flag="f")
     assert rows(got, "e", "s", "f") == [(1, 101, 0), (1, 205, 1), (2, 7, 1), (3, -2, 1), (4, 9, 1)]
     assert rows(op.explode_list(df.filter("e = 1"), "assigned", out="s"), "s") == [(101,), (205,)]
+    big = spark.createDataFrame([(1, "7 A, 99999999999 B"), (2, "2147483647 C"), (3, None), (4, "x, ")], "e int, l string")
+    assert rows(big.filter(op.list_fits("l")), "e") == [(2,), (3,), (4,)]
+    assert rows(op.explode_list(big.filter(op.list_fits("l")), "l", out="s"), "s") == [(2147483647,)]
+    with pytest.raises(Exception, match="list item does not fit an int: 99999999999"):
+        op.explode_list(big, "l").collect()
 
 
 def test_bridge_filter_placement(spark):
@@ -259,6 +264,8 @@ def test_hierarchy(spark):
         ("AB|C|D", "Own", "D", ""), ("A|BC|D", "Own", "D", ""), ("N|E", "Carrier", "", ""),
     ]
     assert len(out.columns) == 14
+    shallow = op.level_hierarchy([op.LevelSource(stores, "Own", ["m", "r", "d"]), op.LevelSource(carrier, "C", ["region"])], depth=2)
+    assert rows(shallow, "hier_id", "lvl_3_cd") == [("AB|C|D", "D"), ("A|BC|D", "D"), ("N", "")]
     ids = op.with_hierarchy_id(stores, ["m", "r", "d"], "h")
     assert rows(ids.filter("r is null"), "h") == [(None,)]
 

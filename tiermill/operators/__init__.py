@@ -29,6 +29,7 @@ from .cdc import (
 from .shape import (
     expand_roles,
     explode_list,
+    list_fits,
     unpivot_measures,
 )
 from .conforming import (

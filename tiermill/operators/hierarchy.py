@@ -34,8 +34,9 @@ def with_hierarchy_id(df: DataFrame, levels: Sequence[str], name: str) -> DataFr
 def level_hierarchy(sources: Sequence[LevelSource], depth: int = 6) -> DataFrame:
     """Distinct level paths of all sources as ``hier_id, hier_nm, lvl_<i>_cd, lvl_<i>_nm``; unused levels are ''.
 
-    The narrow level tuples are de-duplicated first (map-side combine), the wide rows are built afterwards.
+    There are ``depth`` pairs of level columns, or more when a source has more levels.  The narrow level tuples are de-duplicated first (map-side combine), the wide rows are built afterwards.
     """
+    depth = max(depth, *(len(s.levels) for s in sources))
     narrow = []
     for s in sources:
         filled = reduce(lambda a, b: a & b, [F.coalesce(F.col(c) != "", F.lit(False)) for c in s.levels])

@@ -63,12 +63,14 @@ def explode_list(
     """Delimited list of ``"<number> <name>"`` items to one row per number.
 
     ``primary`` names a column with one more item, which joins the list and is flagged 1.  A row without a
-    primary item yields the single element ``unknown``, flagged 1.  Repeated numbers of a row appear once.
+    primary item yields the single element ``unknown``, flagged 1.  Repeated numbers of a row appear once.  A number
+    that does not fit an int fails the job; :func:`list_fits` finds such rows before.
     """
 
     def key(item: Column) -> Column:
-        token = F.get(F.split(F.trim(item), " "), F.lit(0))
-        return F.regexp_extract(token, key_pattern, 0).try_cast("int")
+        token = _number(item, key_pattern)
+        too_large = F.raise_error(F.concat(F.lit("list item does not fit an int: "), token)).cast("int")
+        return F.when(token != "", F.coalesce(token.try_cast("int"), too_large))
 
     empty = F.array().cast("array<string>")
     items = F.coalesce(F.split(as_col(col), r"\Q" + sep + r"\E"), empty)
@@ -85,6 +87,19 @@ def explode_list(
     return df.withColumn(out, F.explode(numbers)).withColumn(flag, is_primary.cast("int"))
 
 
+def _number(item: Column, key_pattern: str) -> Column:
+    return F.regexp_extract(F.get(F.split(F.trim(item), " "), F.lit(0)), key_pattern, 0)
+
+
+def list_fits(col: str, *, sep: str = ",", key_pattern: str = r"-?\d+") -> Column:
+    """Rule that every number of a delimited list fits an int; empty lists and items without a number do."""
+    fits = F.forall(
+        F.split(as_col(col), r"\Q" + sep + r"\E"),
+        lambda item: (_number(item, key_pattern) == "") | _number(item, key_pattern).try_cast("int").isNotNull(),
+    )
+    return F.coalesce(fits, F.lit(True))
+
+
 def expand_roles(df: DataFrame, keep: Sequence[str], roles: Sequence[tuple[Column, Mapping[str, Column]]]) -> DataFrame:
     """One output row per role whose condition holds; a single pass over the input."""
     structs = [

@@ -116,6 +116,12 @@ EMPLOYEE_DELIVERY = {
 UNKNOWN_STORE = -2
 
 
+def split_employee_store(employees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) employees by whether the numbers of their stores can be stored."""
+    rules = {f"{c} out of range": shape.list_fits(c) for c in ("assignedlocations", "primarylocation")}
+    return quality.split_stored(employees, rules)
+
+
 def refine_employee_store(employees: DataFrame, site: Site = Site()) -> DataFrame:
     """One row per employee and assigned store; without a primary location the unknown store."""
     rows = shape.explode_list(

@@ -177,7 +177,9 @@ def product_delta(prev: DataFrame | None, curr: DataFrame) -> DataFrame:
 # Level names of the category tree.
 LEVEL_WORDS = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"]
 ROOT_NAME, SECOND_NAME = "Inventory Tree", "Products"
-FILLED_LEVELS, ID_WIDTH, PATH_SEPARATOR = 8, 2, ">>"
+ID_WIDTH, PATH_SEPARATOR = 2, ">>"
+# What the levels that few trees reach hold where there is no such level.
+RARE_LEVELS = {"nine": ("", " "), "ten": ("", " ")}
 
 
 def ingest_category(raw: DataFrame) -> DataFrame:
@@ -185,18 +187,29 @@ def ingest_category(raw: DataFrame) -> DataFrame:
     return dedup.drop_key_duplicates(rows.filter(quality.required("id")), ["id"])
 
 
+def split_category(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) categories; the table has no columns for ids and paths of more levels than ``LEVEL_WORDS``."""
+    depth = len(LEVEL_WORDS)
+    elements = F.size(F.split("categorypath", r"\Q" + PATH_SEPARATOR + r"\E"))
+    rules = {
+        f"id of more than {depth} levels": F.length("id") <= depth * ID_WIDTH,
+        f"path of more than {depth - 1} names": F.coalesce(elements <= depth - 1, F.lit(True)),
+    }
+    return quality.split_stored(df, rules)
+
+
 def refine_category(df: DataFrame, site: Site = Site()) -> DataFrame:
     """Level ids from the id prefixes and level names from the path, plus the coupon category."""
     rows = dedup.drop_key_duplicates(df, ["id"])
-    ids = fn.id_levels("id", ID_WIDTH, FILLED_LEVELS)
-    path = fn.path_levels("categorypath", PATH_SEPARATOR, FILLED_LEVELS - 1)
+    ids = fn.id_levels("id", ID_WIDTH, len(LEVEL_WORDS))
+    path = fn.path_levels("categorypath", PATH_SEPARATOR, len(LEVEL_WORDS) - 1)
     second = F.when(F.col("parentid").isNull(), "").otherwise(SECOND_NAME)
     names = [F.lit(ROOT_NAME), second, *path[1:]]
     levels = {}
-    for word, level_id, name in zip(LEVEL_WORDS, ids, names, strict=False):
-        levels[f"level_{word}_id"], levels[f"level_{word}_name"] = level_id, name
-    for word in LEVEL_WORDS[FILLED_LEVELS:]:
-        levels[f"level_{word}_id"], levels[f"level_{word}_name"] = F.lit(""), F.lit(" ")
+    for word, level_id, name in zip(LEVEL_WORDS, ids, names, strict=True):
+        no_id, no_name = RARE_LEVELS.get(word, (None, None))
+        levels[f"level_{word}_id"] = F.coalesce(level_id, F.lit(no_id))
+        levels[f"level_{word}_name"] = F.coalesce(name, F.lit(no_name))
     spec = {
         "category_Id": "id",
         "category_name": "description",
@@ -215,7 +228,7 @@ def refine_category(df: DataFrame, site: Site = Site()) -> DataFrame:
         "level_one_name": ROOT_NAME,
         "level_two_id": COUPON_CATEGORY,
         "level_two_name": "Coupons",
-        **{f"level_{w}_{k}": "" for w in LEVEL_WORDS[FILLED_LEVELS:] for k in ("id", "name")},
+        **{f"level_{w}_{k}": "" for w in RARE_LEVELS for k in ("id", "name")},
     }
     return conform.with_special_members(conform.project(rows, spec), [coupon])
 

@@ -304,7 +304,8 @@ def deliver_employee(lake: Lake) -> None:
 
 
 def refine_employee_store(lake: Lake) -> None:
-    lake.refine("employee_store_association", people.refine_employee_store(lake.current("employee"), lake.site))
+    good = lake.split(people.split_employee_store(lake.current("employee")), "employee_store_association")
+    lake.refine("employee_store_association", people.refine_employee_store(good, lake.site))
 
 
 def deliver_employee_store(lake: Lake) -> None:
@@ -354,7 +355,8 @@ def ingest_category(lake: Lake) -> None:
 
 
 def refine_category(lake: Lake) -> None:
-    out = product.refine_category(lake.found("product_category"), lake.site)
+    good = lake.split(product.split_category(lake.found("product_category")), "product_category")
+    out = product.refine_category(good, lake.site)
     lake.refine("product_category", out, ["category_Id"])
 
 
