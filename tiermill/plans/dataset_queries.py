@@ -557,3 +557,122 @@ def dataset_dealer_code_runs(spark, t):
         refine_dealer(lake)
         deliver_dealer(lake)
     return spark.read.option("header", True).csv(f"{root}/delivery/dealer_code/Current")
+
+
+HEADCOUNTS = [c for c in reports.HEADCOUNT_DELIVERY.values() if c.endswith(("_count", "headcount"))]
+HEADCOUNT_SQL = {
+    "report_date": "'1/7/2018'",
+    "store_number": "num",
+    "companycd": f"{SITE.company_cd}",
+    "dealer_code": "code",
+    **{c: f"CAST(CAST(d AS INTEGER) + {i} AS VARCHAR)" for i, c in enumerate(HEADCOUNTS)},
+}
+
+
+@query(
+    "dataset_headcount",
+    STORE_CTE
+    + f"""SELECT {", ".join(f'{HEADCOUNT_SQL[c]} AS "{n}"' for n, c in reports.HEADCOUNT_DELIVERY.items())}
+FROM st JOIN br USING (num) WHERE num % 5 <> 0""",
+)
+def dataset_headcount(spark, t):
+    """D18, all delivered columns; every fifth store is reported without a name, which is quarantined."""
+    feed = padded(
+        t("supplier"),
+        list(reports.HEADCOUNT_NAMES.values()),
+        {
+            "store_name": F.when(F.col("s_suppkey") % 5 != 0, F.concat_ws(" ", text("s_suppkey"), "s_name")),
+            "report_date": F.lit("1/7/2018"),
+            **{c: (F.col("s_nationkey") + i).cast("int").cast("string") for i, c in enumerate(HEADCOUNTS)},
+        },
+    )
+    good, _ = reports.split_headcount(feed)
+    return conform.project(reports.refine_headcount(good, stores(t), bridge(t), SITE), reports.HEADCOUNT_DELIVERY)
+
+
+@query(
+    "dataset_goal_points",
+    f"""
+SELECT DISTINCT DATE '2018-01-08' AS "RPT_DT", cls AS "CLS", p_brand || ' ' || p_type AS "KPI_NM", {SITE.company_cd} AS "CO_CD",
+  CAST(length(p_type) * k AS VARCHAR) AS "GOAL_PT", CAST(k AS VARCHAR) AS "BNS_PT", NULL AS "DECELERATOR_PT"
+FROM part, (VALUES ('Store', 1), ('Employee', 2)) x(cls, k)
+""",
+)
+def dataset_goal_points(spark, t):
+    """D16, all delivered columns: brands and types as metrics, many rows of a metric."""
+
+    def sheet(factor: int) -> DataFrame:
+        rows = t("part").select(
+            F.concat_ws(" ", "p_brand", "p_type").alias("kpiname"),
+            (F.length("p_type") * factor).cast("string").alias("goalpoints"),
+            F.lit(str(factor)).alias("bonuspoints"),
+        )
+        return rows.withColumn("deceleratorpoints", F.lit(None).cast("string"))
+
+    return conform.project(goals.refine_points(sheet(1), sheet(2), "2018-01-08", SITE), goals.POINTS_DELIVERY)
+
+
+@query(
+    "dataset_daily_forecast",
+    """
+SELECT strftime(o_orderdate, '%m/%d/%Y') AS "RPT_DT", CAST(round(o_orderkey % 1000 / 1000.0, 3) AS DECIMAL(18,4)) AS "DAY_PCT_FCST"
+FROM orders WHERE o_orderkey % 7 <> 0
+""",
+)
+def dataset_daily_forecast(spark, t):
+    """D17, all delivered columns; every seventh row is a total, which is quarantined for its date."""
+    percent = (F.col("o_orderkey") % 1000).cast("decimal(18,1)") / 10
+    feed = t("orders").select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise("Total").alias("date"),
+        F.concat(percent.cast("decimal(18,1)").cast("string"), F.lit("%")).alias("daypercenttoforecast"),
+    )
+    good, _ = goals.split_forecast(feed)
+    rows = good.withColumn("daypercenttoforecast", F.col("daypercenttoforecast").cast("decimal(18,4)"))
+    return conform.project(rows, goals.FORECAST_DELIVERY)
+
+
+def level_sql(names: list[str]) -> str:
+    names = [*names, *["''"] * (6 - len(names))]
+    return ", ".join(f"{n} AS lvl_{i}_cd, {n} AS lvl_{i}_nm" for i, n in enumerate(names, 1))
+
+
+@query(
+    "dataset_store_hierarchy",
+    STORE_CTE
+    + f"""SELECT DISTINCT m || '|' || r || '|' || d AS hier_id, '{SITE.hierarchy}' AS hier_nm, {level_sql(["m", "r", "d"])}, 'I' AS cdc_ind_cd
+FROM st WHERE CAST(d AS INTEGER) >= 12
+UNION ALL SELECT DISTINCT region || '|' || market, 'ATT Hierarchy', {level_sql(["region", "market"])}, 'I' FROM dl WHERE CAST(id AS INTEGER) >= 12""",
+)
+def dataset_store_hierarchy(spark, t):
+    """D2, all columns: the paths that came in with the later half of the nations."""
+    curr = (stores(t), dealers(t))
+    prev = (curr[0].filter(F.col("OwnDistrict").cast("int") < 12), curr[1].filter(F.col("attlocationid").cast("int") < 12))
+    return store.store_hierarchy_delta(curr, prev, SITE)
+
+
+@query(
+    "dataset_management_hierarchy",
+    STORE_CTE
+    + """
+, li AS (SELECT CAST(s_suppkey AS INTEGER) AS num, CAST(s_nationkey AS INTEGER) AS a, CAST(s_nationkey + 50 AS INTEGER) AS b,
+  CAST(s_suppkey % 5 AS INTEGER) AS c FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey % 4 <> 0),
+em AS (SELECT CAST(c_custkey AS INTEGER) AS w FROM customer)
+SELECT DISTINCT m || '|' || r || '|' || d AS hier_id, CAST(x.w + 1000 AS INTEGER) AS lvl_1_src_mgr_id, CAST(y.w + 1000 AS INTEGER) AS lvl_2_src_mgr_id,
+  CAST(z.w + 1000 AS INTEGER) AS lvl_3_src_mgr_id, '' AS lvl_4_src_mgr_id, '' AS lvl_5_src_mgr_id, '' AS lvl_6_src_mgr_id
+FROM st LEFT JOIN li USING (num) LEFT JOIN em x ON x.w = a LEFT JOIN em y ON y.w = b LEFT JOIN em z ON z.w = c
+""",
+)
+def dataset_management_hierarchy(spark, t):
+    """D3, all columns; every third store is closed, and every fourth has a manager id that is no number."""
+    listed = t("supplier").select(
+        text("s_suppkey").alias("Store"),
+        F.when(F.col("s_suppkey") % 3 == 0, "Closed").otherwise("Open").alias("Status"),
+        F.when(F.col("s_suppkey") % 4 == 0, "n/a").otherwise(text("s_nationkey")).alias("RVPID"),
+        (F.col("s_nationkey") + 50).cast("string").alias("MDIRID"),
+        (F.col("s_suppkey") % 5).cast("string").alias("DMID"),
+    )
+    staff = t("customer").select(
+        text("c_custkey").alias("workdayid"), (F.col("c_custkey") + 1000).cast("int").alias("sourceemployeeid")
+    )
+    good, _ = store.management_sources(listed)
+    return store.management_hierarchy(stores(t), good, staff, SITE)
