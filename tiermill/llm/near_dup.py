@@ -29,9 +29,9 @@ from pyspark.sql.window import Window
 
 from tiermill.plans.staging import discard, stage
 
-from .common import WordHash, mix, own_name, shingles, slices, words_of
+from .common import Powers, cuts, mix, own_name, shingle_sets
 from .links import components
-from .ngram_join import commonness, full_sets, may_fit, prefixes, sizes_fit, verified
+from .ngram_join import commonness_in, full_sets, may_fit, prefixes, sizes_fit, verified
 
 BANDS = 32
 MANTISSA = 10  # bits kept behind the leading one; 6 bits hold the count of leading zeros
@@ -67,18 +67,18 @@ def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
     """Per row: row (doc_id and text hash), digest of the set (null: empty set), n and bands; sets are not kept."""
 
     def work(batches):
-        hashes = WordHash(bytes.lower)  # lower-cases A to Z only
-        for ids, texts, wholes in slices(batches):
+        powers = Powers()
+        for cut in cuts(batches):
+            ids, texts, wholes = cut.columns
             digest, size, sig = [], [], []
-            for text in texts:
-                found = shingles(hashes.of(words_of(text)), k)
+            for found in shingle_sets(texts, k, powers):
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 size.append(len(found))
                 sig.append(registers(found, bands) if len(found) else [])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
-                    pa.array(wholes, pa.int64()),
+                    ids,
+                    wholes,
                     pa.array(digest, pa.binary()),
                     pa.array(size, pa.int64()),
                     pa.array(sig, pa.list_(pa.int64())),
@@ -101,9 +101,9 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) ->
     return pairs.where((equal - collide) / (1 - collide) >= percent / 100 - MARGIN).select("a", "b", "n_a", "n_b")
 
 
-def rare_shingles(documents: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(class, n, at, token): the rare-first prefix of every class's set.  Similar sets have a token of it in common."""
-    sent = documents.sparkSession.sparkContext.broadcast(commonness(documents, k))
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(class, n, at, token): the rare-first prefix of every set (class, tokens).  Similar sets have a token of it in common."""
+    sent = sets.sparkSession.sparkContext.broadcast(commonness_in(sets))
 
     def work(batches):
         for batch in batches:
@@ -114,7 +114,7 @@ def rare_shingles(documents: DataFrame, classes: DataFrame, k: int, percent: int
                 [pa.array(found, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], ["class", "n", "prefix"]
             )
 
-    cut = full_sets(documents, classes, k).mapInArrow(work, "class long, n long, prefix array<long>")
+    cut = sets.select("class", "tokens").mapInArrow(work, "class long, n long, prefix array<long>")
     return cut.select("class", "n", F.posexplode("prefix").alias("at", "token"))
 
 
@@ -133,19 +133,20 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
     spread = classes.select("class", "n", F.posexplode("bands").alias("i", "band"))
     buckets = spread.select(F.xxhash64("i", "band").alias("bucket"), "class", "n")
     pivots = buckets.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min(F.struct("class", "n")).alias("p"), F.max(F.struct("n", "class")).alias("q")
+        F.count("*").alias("members"), F.min(F.struct("class", "n")).alias("p"), F.max(F.struct("n", "class")).alias("q"),
+        F.min(F.struct(F.xxhash64("bucket", "class").alias("any"), "class", "n")).alias("r"),
     )
     shared = stage(buckets.join(pivots.where("members > 1"), "bucket"), "shared")
     links: list[DataFrame] = []
 
-    def link(pairs: DataFrame, name: str) -> bool:
-        """Estimate and verify candidate pairs (class, other); whether any is linked."""
+    def link(pairs: DataFrame, name: str, known: DataFrame | None = None) -> bool:
+        """Estimate and verify candidate pairs (class, other), on sets already made if ``known``; whether any is linked."""
         pairs = pairs.select(F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")).distinct()
         likely = stage(estimated(pairs, classes, percent, bands), f"{name}-likely")
         if likely.isEmpty():
             return False
         members = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        sets = stage(full_sets(documents, classes.join(members, "class"), k), f"{name}-sets")
+        sets = stage(full_sets(documents, classes.join(members, "class"), k), f"{name}-sets") if known is None else known
         links.append(stage(verified(likely, sets, percent), f"{name}-links"))
         discard(sets, likely)
         return not links[-1].isEmpty()
@@ -168,9 +169,10 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
     link(ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other"), "ends")
     label = labels()
 
-    # In buckets that still hold several components: each class with the bucket's pivots.
+    # In buckets that still hold several components: each class with the bucket's lowest pivot and with one by hash, which is
+    # another one in most buckets.
     left = mixed(label)
-    pivot = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n") for x in "pq"))).alias("pivot")
+    pivot = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n") for x in "pr"))).alias("pivot")
     pairs = left.select("class", "n", "component", pivot).select("class", "n", "component", F.col("pivot.class").alias("other"), F.col("pivot.n").alias("n_b"))
     pairs = pairs.where("class <> other").where(sizes_fit("n", "n_b", percent)).select("class", "other", "component").distinct()
     pairs = pairs.join(label.select(F.col("class").alias("other"), F.col("component").alias("c")), "other", "left")
@@ -179,11 +181,12 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         left = mixed(label)
 
     # What is left: members of such buckets, none of them a pivot, that share rare shingles early enough.
-    rest = left.where("class not in (p.class, q.class)")
+    rest = left.where("class not in (p.class, r.class)")
     crowded = rest.groupBy("bucket").agg(F.count("*").alias("rest")).where("rest > 1").select("bucket")
     rest = stage(rest.join(crowded, "bucket", "left_semi").select("class", "component").distinct(), "rest")
     if not rest.isEmpty():
-        index = stage(rare_shingles(documents, classes.join(rest, "class"), k, percent).join(rest, "class"), "rare-shingles")
+        sets = stage(full_sets(documents, classes.join(rest, "class"), k), "rest-sets")
+        index = stage(rare_shingles(sets, percent).join(rest, "class"), "rare-shingles")
         lists = index.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         index = index.join(lists.select("token"), "token")
         before = F.lag("token").over(Window.partitionBy("class").orderBy("at"))
@@ -191,7 +194,7 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         other = index.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component", "before")))
         met = index.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent))
         met = met.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
-        if link(met.select("class", F.col("class_b").alias("other")), "rest"):
+        if link(met.select("class", F.col("class_b").alias("other")), "rest", sets):
             label = labels()
 
     lowest = classes.select("class", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from tiermill.plans.staging import discard, stage
 
-from .common import WordHash, mix, shingles, slices, words_of
+from .common import Powers, cuts, hashed_words, mix, rolled, shingle_sets
 from .links import components
 
 ORDERS = 3
@@ -36,46 +36,60 @@ SEEDS = mix(np.arange(1, ORDERS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4
 
 
 def _sets(batches, k: int):
-    """(other columns, shingle sets) of batches whose second column is the text."""
-    hashes = WordHash(bytes.lower)  # lower-cases A to Z only
-    for columns in slices(batches):
-        yield columns, [shingles(hashes.of(words_of(text)), k) for text in columns[1]]
+    """Cuts of batches whose second column is the text, with the shingle sets of their rows."""
+    powers = Powers()
+    for cut in cuts(batches):
+        yield cut, shingle_sets(cut.column(1), k, powers)
 
 
-def _rolled(words: np.ndarray, k: int) -> np.ndarray:
-    """What ``shingles`` makes of every ``k`` consecutive words, repeats included."""
-    n = len(words) - k + 1
-    value = words[:n]
-    for i in range(1, k):
-        value = mix(value) + words[i : n + i]
-    return mix(value)
+def _standing_out(total: np.ndarray) -> pa.RecordBatch:
+    """The counters that stand out of their mean."""
+    mean = total.mean()
+    high = np.flatnonzero(total > mean + 4 * math.sqrt(mean) + 2)
+    return pa.RecordBatch.from_pydict({"counter": high.astype(np.int32), "n": total[high]})
 
 
-def commonness(documents: DataFrame, k: int) -> np.ndarray:
+def _powers_of_two(counted: DataFrame) -> np.ndarray:
     """For each of COUNTERS hashed tokens, how often it occurs as a power of two; 0 for those that do not stand out.
 
     A task reports the counters that stand out of its mean, so what reaches the driver is at most one row per counter.
-    The counts only order tokens: results do not depend on them, the number of candidates does.  So texts of a slice are
-    run together, whose few shingles across two texts do no harm.
+    The counts only order tokens: results do not depend on them, the number of candidates does.
     """
-
-    def work(batches):
-        total, hashes = np.zeros(COUNTERS, np.int64), WordHash(bytes.lower)
-        for _, texts in slices(batches):
-            words = hashes.of([w for text in texts for w in words_of(text)])
-            if len(words) >= k:
-                total += np.bincount(_rolled(words, k).view(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
-        mean = total.mean()
-        high = np.flatnonzero(total > mean + 4 * math.sqrt(mean) + 2)
-        yield pa.RecordBatch.from_pydict({"counter": high.astype(np.int32), "n": total[high]})
-
-    counted = documents.select(F.lit(0).alias("none"), "text").mapInArrow(work, "counter int, n long")
     out = np.zeros(COUNTERS, np.uint64)
     for row in counted.groupBy("counter").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("power")).collect():
         out[row.counter] = row.power
     return out
 
 
+def commonness(documents: DataFrame, k: int) -> np.ndarray:
+    """How common the tokens of ``documents`` are, by hashed token (see ``_powers_of_two``).
+
+    Texts of a cut are run together, whose few shingles across two texts do no harm.
+    """
+
+    def work(batches):
+        total, powers = np.zeros(COUNTERS, np.int64), Powers()
+        for cut in cuts(batches):
+            found = rolled(hashed_words(cut.column(1), powers)[0], k)
+            total += np.bincount(found.view(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
+        yield _standing_out(total)
+
+    return _powers_of_two(documents.select(F.lit(0).alias("none"), "text").mapInArrow(work, "counter int, n long"))
+
+
+def commonness_in(sets: DataFrame) -> np.ndarray:
+    """``commonness`` of the tokens of ``sets`` (class, tokens)."""
+
+    def work(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            found = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(found & (COUNTERS - 1), minlength=COUNTERS)
+        yield _standing_out(total)
+
+    return _powers_of_two(sets.select("tokens").mapInArrow(work, "counter int, n long"))
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -93,12 +107,13 @@ def sketches(documents: DataFrame, common: np.ndarray, k: int, percent: int, ord
     sent = documents.sparkSession.sparkContext.broadcast(common)
 
     def work(batches):
-        for (ids, _, wholes), sets in _sets(batches, k):
+        for cut_, sets in _sets(batches, k):
+            ids, _, wholes = cut_.columns
             cut = [prefixes(s, sent.value, percent, orders) if len(s) else [s] * orders for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
-                    pa.array(wholes, pa.int64()),
+                    ids,
+                    wholes,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([c[0].view(np.int64) for c in cut], pa.list_(pa.int64())),
@@ -118,7 +133,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     texts = texts.join(wanted, F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("whole")))
 
     def work(batches):
-        for (classes, _, digests), sets in _sets(batches, k):
+        for cut, sets in _sets(batches, k):
+            classes, digests = cut.column(0).to_pylist(), cut.column(2).to_pylist()
             rows = [(c, s.view(np.int64)) for c, d, s in zip(classes, digests, sets, strict=True) if xxhash.xxh3_128_digest(s.tobytes()) == d]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c for c, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.list_(pa.int64()))], ["class", "tokens"]

@@ -20,29 +20,12 @@ from pyspark.sql import functions as F
 
 from tiermill.plans.staging import stage
 
-from .common import mix, slices
+from .common import BYTES, Powers, mix, slices
 
 WIDTH = 200
 GRAM = 50
 HOT = 1000  # different surroundings up to which one task compares an anchor's windows
 TASK_ROWS = 20_000  # surroundings a task gets, about
-BASE = 0x9E3779B97F4A7C15 | 1
-BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-class Powers:
-    """BASE**i and BASE**-i modulo 2**64, for as many i as were asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-                values = np.full(max(n, 1 << 16), base, np.uint64)
-                values[0] = 1
-                setattr(self, name, np.multiply.accumulate(values))
-        return self.up[:n], self.down[:n]
 
 
 def window_hashes(data: np.ndarray, width: int, powers: Powers) -> np.ndarray:
