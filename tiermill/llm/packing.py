@@ -59,7 +59,7 @@ class TokenIds(dict):
         self.pattern = self._pattern()
         self.others: dict[str, bytes] = {}
 
-    def _pattern(self) -> regex.Pattern | None:
+    def _pattern(self) -> re.Pattern | regex.Pattern | None:
         """What the tokenizer keeps of a text, if it works in the steps named above."""
         if self.encoder.normalizer is None or self.encoder.pre_tokenizer is None:
             return None
@@ -71,7 +71,7 @@ class TokenIds(dict):
         split, spelling = steps
         kept = split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"]
         plain = not spelling["add_prefix_space"] and not spelling["use_regex"]
-        return regex.compile(split["pattern"]["Regex"]) if kept and plain else None
+        return _on_plain(split["pattern"]["Regex"]) if kept and plain else None
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= WORD_CACHE:
@@ -99,6 +99,22 @@ class TokenIds(dict):
         return self.others[word]
 
 
+def _on_plain(pattern: str) -> re.Pattern | regex.Pattern:
+    """``pattern`` for lower-cased PLAIN text: letters and numbers in brackets are listed, as the faster module knows no
+    properties; a pattern that has others is left to the slower one."""
+    found = sorted({chr(c).lower() for c in range(0x250) if PLAIN.fullmatch(chr(c))})
+    outside, listed = re.sub(r"\[[^\[\]\\]*(?:\\.[^\[\]\\]*)*\]", "", pattern), pattern
+    for kind in (r"\p{L}", r"\p{N}"):
+        listed = listed.replace(kind, _ranges([ord(c) for c in found if regex.fullmatch(kind, c)]))
+    return regex.compile(pattern) if r"\p" in listed.lower() or "[" in outside or r"\p" in outside else re.compile(listed)
+
+
+def _ranges(codes: list[int]) -> str:
+    """What stands for the ascending ``codes`` in brackets."""
+    cuts = [i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1]
+    return "".join(f"\\U{codes[a]:08x}-\\U{codes[b - 1]:08x}" for a, b in zip([0, *cuts], [*cuts, len(codes)], strict=True))
+
+
 def _bytes(ids: Iterable[int]) -> bytes:
     found = array("I", ids)
     if sys.byteorder == "big":
