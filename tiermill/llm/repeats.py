@@ -4,19 +4,22 @@ Every window of WIDTH bytes names an anchor inside it: the leftmost of its GRAM-
 windows name equal anchors at equal places, so only windows around an anchor that occurs twice can repeat.
 
 1. Anchors (one per 75 bytes or so) are counted with a hash of the bytes that windows around them can reach.  Anchors that
-   occur once are settled; where the whole surroundings occur twice, all of them are covered.
+   occur once are settled; where the whole surroundings occur twice, all of them are covered.  Anchors are shuffled once,
+   and only those that occur again are stored; surroundings that one slice of texts holds several times go as one.
 2. For the rest, the surroundings of equal anchors meet and their windows are compared.  Anchors with more than HOT
    different surroundings are not gathered: their windows are counted by hash over the whole cluster.
-3. Each document's covered runs are merged and cut out.
+3. Each document's covered runs are merged and cut out.  The texts that steps 2 and 3 read are shuffled once.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tiermill.plans.staging import stage
 
@@ -54,55 +57,68 @@ def _encoded(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def _met(keys: np.ndarray, at: np.ndarray, anchor: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors, renamed, and how often their surroundings were met.  Of equal surroundings the first row stands for all;
+    the others are settled, being repeated, and get names of their own so that they burden nobody's group."""
+    _, first, back, times = np.unique(mix(mix(anchor) + around), return_index=True, return_inverse=True, return_counts=True)
+    other = np.ones(len(at), bool)
+    other[first] = False
+    named = np.where(other, mix(mix(keys.view(np.uint64)) + at.astype(np.uint64)), anchor)
+    return named, times[back]
+
+
 def _anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
+    """(key, at, anchor, around, n): every anchor, the hash of its surroundings, and how many rows it stands for."""
     reach = width - gram
 
     def work(batches):
         powers = Powers()
-        for ids, texts in slices(batches):
+        for keys, texts in slices(batches):
             out = [[], [], [], []]
-            for key, text in zip(ids, texts, strict=True):
+            for key, text in zip(keys, texts, strict=True):
                 data = _encoded(text)
                 if len(data) < width:
                     continue
                 found = window_hashes(np.frombuffer(data, np.uint8), gram, powers)
                 at = anchors(found, reach + 1)
-                out[0] += [key] * len(at)
+                out[0].append(np.full(len(at), key, np.int64))
                 out[1].append(at)
-                out[2].append(found[at].view(np.int64))
+                out[2].append(found[at])
                 around = (xxhash.xxh3_64_intdigest(data[max(0, a - reach) : a + width], min(a, reach)) for a in at.tolist())
-                out[3].append(np.fromiter(around, np.uint64, len(at)).view(np.int64))
+                out[3].append(np.fromiter(around, np.uint64, len(at)))
             if out[0]:
-                at, anchor, around = (np.concatenate(x) for x in out[1:])
-                yield pa.RecordBatch.from_pydict({"key": pa.array(out[0], pa.int64()), "at": at, "anchor": anchor, "around": around})
+                key, at, anchor, around = (np.concatenate(x) for x in out)
+                anchor, n = _met(key, at, anchor, around)
+                yield pa.RecordBatch.from_pydict({"key": key, "at": at, "anchor": anchor.view(np.int64), "around": around.view(np.int64), "n": n})
 
-    return docs.select("key", "text").mapInArrow(work, "key long, at long, anchor long, around long")
+    return docs.select("key", "text").mapInArrow(work, "key long, at long, anchor long, around long, n long")
 
 
 def _surroundings(docs: DataFrame, wanted: DataFrame, width: int, gram: int) -> DataFrame:
-    """(key, at, anchor, left, data): the bytes around each wanted anchor and how many of them lie left of it."""
+    """(key, at, anchor, warm, left, data): the bytes around each wanted anchor and how many of them lie left of it."""
     reach = width - gram
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("at", "anchor")).alias("wanted"))  # of one text
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("at", "anchor", "warm")).alias("wanted"))  # of one text
 
     def work(batches):
-        for keys, texts, lists in slices(batches):
+        for _, texts, keys, lists in slices(batches):
             rows = []
             for key, text, places in zip(keys, texts, lists, strict=True):
                 data = _encoded(text)
                 for p in places:
                     a = p["at"]
-                    rows.append((key, a, p["anchor"], min(a, reach), data[max(0, a - reach) : a + width]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                    rows.append((key, a, p["anchor"], p["warm"], min(a, reach), data[max(0, a - reach) : a + width]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "at", "anchor", "left", "data"]
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "at", "anchor", "warm", "left", "data"]
             )
 
-    once = docs.join(lists, "key").select("key", "text", "wanted")
-    return once.mapInArrow(work, "key long, at long, anchor long, left long, data binary")
+    # all columns of docs, as in remove_repeats, so that Spark can use one shuffle of the texts for both joins
+    joined = docs.join(lists, "key").select(*docs.columns, "wanted")
+    return joined.mapInArrow(work, "key long, at long, anchor long, warm boolean, left long, data binary")
 
 
 def _windows(table: dict, width: int, reach: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (rows x windows, aligned at the anchor) and which of them exist."""
+    """Hashes of anchor, place and bytes (rows x windows, aligned at the anchor) and which of them exist."""
     m = len(table["data"])
     matrix = np.zeros((m, reach + width), np.uint8)
     start, size = np.empty(m, np.int64), np.empty(m, np.int64)
@@ -111,7 +127,8 @@ def _windows(table: dict, width: int, reach: int, powers: Powers) -> tuple[np.nd
         matrix[i, start[i] : start[i] + len(data)] = np.frombuffer(data, np.uint8)
     where = np.arange(reach + 1)
     real = (where >= start[:, None]) & (where + width <= (start + size)[:, None])
-    return window_hashes(matrix, width, powers), real
+    hashes, salt = window_hashes(matrix, width, powers), mix(np.array(table["anchor"], np.int64).view(np.uint64))
+    return mix(hashes + salt[:, None] + where.astype(np.uint64)), real
 
 
 def _runs(keys, ats, flags: np.ndarray, width: int, reach: int) -> pa.RecordBatch:
@@ -124,29 +141,31 @@ def _runs(keys, ats, flags: np.ndarray, width: int, reach: int) -> pa.RecordBatc
 
 
 def covered(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """Runs of bytes (key, lo, hi) covered by repeated windows; ``docs`` has key (equal for equal rows only) and text."""
+    """Runs of bytes (key, lo, hi) covered by repeated windows; ``docs`` has doc_id, text and key (equal for equal rows only)."""
     reach = width - gram
-    found = stage(_anchors(docs, width, gram), "anchors")
-    counts = found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("first"))
-    counts = stage(counts, "counts")
-    kinds = counts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where("all > 1")
-    whole = found.join(counts.where("n > 1").select("anchor", "around"), ["anchor", "around"])
-    whole = whole.select("key", F.greatest(F.col("at") - reach, F.lit(0)).alias("lo"), (F.col("at") + width).alias("hi"))
-
-    open_ = counts.join(kinds.where("kinds > 1"), "anchor").select("first.key", "first.at", "anchor", "kinds", "n")
-    open_ = stage(open_, "open")
-    around = _surroundings(docs, open_, width, gram).join(open_.select("key", "at", "kinds"), ["key", "at"])
-    around = stage(around, "around")
+    found = _anchors(docs, width, gram).repartition("anchor")
+    alike = Window.partitionBy("anchor", "around")
+    found = found.withColumn("nth", F.row_number().over(alike.orderBy("key", "at"))).withColumn("n", F.sum("n").over(alike))
+    found = found.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1)).over(Window.partitionBy("anchor")))
+    lone = (F.col("nth") > 1) | (F.col("kinds") == 1)  # its surroundings are compared with no others
+    again = found.where("n > 1 or kinds > 1").select(
+        "key", "at", (F.col("n") > 1).alias("whole"), *(F.when(~lone, F.col(c)).alias(c) for c in ("anchor", "kinds"))
+    )
+    again = stage(again, "again")
+    whole = again.where("whole").select("key", F.greatest(F.col("at") - reach, F.lit(0)).alias("lo"), (F.col("at") + width).alias("hi"))
+    open_ = again.where("anchor is not null").withColumn("warm", F.col("kinds") > hot)
+    n_open, n_warm = open_.agg(F.count("*"), F.count(F.when(F.col("warm"), 1))).first()
+    # one shuffle that every reader below reads whole: each keeps its own rows, since a filter in Spark would make another
+    around = _surroundings(docs, open_, width, gram).withColumn("dealt", F.when(F.col("warm"), F.xxhash64("key", "at")).otherwise(F.col("anchor")))
+    around = around.repartition(max(1, -(-n_open // TASK_ROWS)), "dealt")
 
     def compare(batches):
         powers = Powers()
-        found = list(batches)  # about TASK_ROWS
+        found = [b.filter(pc.invert(b.column("warm"))) for b in batches]  # about TASK_ROWS
         table = pa.Table.from_batches(found).to_pydict() if found else {"anchor": []}
         for rows in _cuts(table["anchor"]):
             part = {k: [v[i] for i in rows] for k, v in table.items()}
-            hashes, real = _windows(part, width, reach, powers)
-            salt = mix(np.array(part["anchor"], np.int64).view(np.uint64))
-            named = mix(hashes + salt[:, None] + np.arange(reach + 1, dtype=np.uint64))
+            named, real = _windows(part, width, reach, powers)
             _, back, times = np.unique(named[real], return_inverse=True, return_counts=True)
             flags = np.zeros(real.shape, bool)
             flags[real] = times[back] > 1
@@ -163,34 +182,24 @@ def covered(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HO
                 yield order[start:end].tolist()
                 start = end
 
-    cool = around.where(F.col("kinds") <= hot).select("key", "at", "anchor", "left", "data")
-    tasks = max(1, -(-cool.count() // TASK_ROWS))
-    met = cool.repartition(tasks, "anchor").mapInArrow(compare, "key long, lo long, hi long")
+    met = around.mapInArrow(compare, "key long, lo long, hi long")
+    if not n_warm:
+        return whole.union(met)
 
     def spell(batches):
         powers = Powers()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000).to_pydict()
-                hashes, real = _windows(part, width, reach, powers)
+            rows = batch.filter(batch.column("warm"))
+            for at in range(0, rows.num_rows, 1000):
+                part = rows.slice(at, 1000).to_pydict()
+                named, real = _windows(part, width, reach, powers)
                 row, place = np.nonzero(real)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "key": np.array(part["key"], np.int64)[row],
-                        "at": np.array(part["at"], np.int64)[row],
-                        "anchor": np.array(part["anchor"], np.int64)[row],
-                        "place": place.astype(np.int32),
-                        "hash": hashes[real].view(np.int64),
-                    }
-                )
-
-    warm = around.where(F.col("kinds") > hot).select("key", "at", "anchor", "left", "data")
-    spelt = warm.mapInArrow(spell, "key long, at long, anchor long, place int, hash long")
-    twice = spelt.groupBy("anchor", "place", "hash").count().where("count > 1").select("anchor", "place", "hash")
-    base = F.col("at") - reach + F.col("place")
-    counted = spelt.join(twice, ["anchor", "place", "hash"]).groupBy("key", "at").agg(F.sort_array(F.collect_set(base)).alias("starts"))
-    # starts around one anchor: 151 at most
-    spread = counted.select("key", F.explode("starts").alias("lo")).select("key", "lo", (F.col("lo") + width).alias("hi"))
+                start = np.array(part["at"], np.int64)[row] - reach + place
+                yield pa.RecordBatch.from_pydict({"key": np.array(part["key"], np.int64)[row], "lo": start, "name": named[real].view(np.int64)})
+
+    spelt = around.mapInArrow(spell, "key long, lo long, name long")
+    twice = spelt.groupBy("name").count().where("count > 1").select("name")
+    spread = spelt.join(twice, "name").select("key", "lo", (F.col("lo") + width).alias("hi"))
     return whole.union(met).union(spread)
 
 
@@ -203,8 +212,7 @@ def remove_repeats(documents: DataFrame, width: int = WIDTH, gram: int = GRAM, h
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    once = docs.select("key", "text")
-    runs = covered(once, width, gram, hot).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))  # of one text
+    runs = covered(docs, width, gram, hot).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))  # of one text
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
     def cut(batches):
