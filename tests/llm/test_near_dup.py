@@ -1,5 +1,6 @@
 """Near duplicates against all pairs compared in plain Python."""
 
+import random
 import re
 from itertools import combinations
 
@@ -70,3 +71,20 @@ def test_pages_of_one_template_make_few_pairs(spark, monkeypatch):
     assert all(kept for *_, kept in run(spark, docs))
     assert sum(seen) <= 2 * (1 + near_dup.BANDS) * pages
     assert seen[-1] == 0 or len(seen) < 3
+
+
+def test_changed_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    """Copies meet the least changed one of them first, and of the others only those that may be similar: a few pairs a copy."""
+    seen = []
+    inner = near_dup.estimated
+    monkeypatch.setattr(near_dup, "estimated", lambda pairs, *rest: seen.append(pairs.count()) or inner(pairs, *rest))
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(140)]
+    docs = [(500, " ".join(base))]
+    for i in range(300):
+        words = list(base)
+        for j in rng.sample(range(140), 2 + i % 8):
+            words[j] = f"c{i}x{j}"
+        docs.append((i, " ".join(words)))
+    assert run(spark, docs) == brute(docs, 4)
+    assert sum(seen) <= 8 * len(docs)

@@ -9,10 +9,12 @@
    the threshold.
 4. *Verification* on the full shingle sets, made again from the texts of surviving pairs only; then connected components.
 
-Documents with equal sets form a class and are represented once.  Each class is first compared with two pivots; then,
-only in buckets that still hold several components, with those buckets' own pivots.  Members of a bucket that neither
-joins meet in pairs only where they share a shingle among their rarest, early enough for the threshold: pages of one
-template, each with words of its own, fill a bucket and make no pairs.
+Documents with equal sets form a class and are represented once.  A bucket's centre is the member that shares the most
+buckets with others: amid near copies, the one with the fewest changes.  Each class is first compared with two pivots, one
+of them the greatest centre of its buckets; then, only in buckets that still hold several components, with those buckets'
+centres.  Members of a bucket that these do not join meet in pairs only where they share a shingle among their rarest, early
+enough for the threshold, and miss few enough of each other's rarest: pages of one template, each with words of its own,
+fill a bucket and make no pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,6 +38,7 @@ from .ngram_join import commonness_in, full_sets, may_fit, prefixes, sizes_fit,
 BANDS = 32
 MANTISSA = 10  # bits kept behind the leading one; 6 bits hold the count of leading zeros
 MARGIN = 0.2  # over five standard errors of the estimate at the threshold
+MARKS = 4  # longs with a bit for each rare shingle of a set
 BLOCK = 256  # shingles hashed at once, so the work stays in the processor's cache
 LANES = " + ".join(f"cast((x ^ y) & {0xFFFF << s if s < 48 else -(1 << 48)}L = 0 as int)" for s in (0, 16, 32, 48))
 
@@ -101,21 +104,47 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) ->
     return pairs.where((equal - collide) / (1 - collide) >= percent / 100 - MARGIN).select("a", "b", "n_a", "n_b")
 
 
+def marks(tokens: np.ndarray) -> np.ndarray:
+    """Bits named by the tokens; a bit that only one of two sets has stands for a token that only this one has."""
+    out = np.zeros(MARKS, np.uint64)
+    place = (tokens >> np.uint64(32)) % np.uint64(64 * MARKS)
+    np.bitwise_or.at(out, (place // np.uint64(64)).astype(np.int64), np.uint64(1) << place % np.uint64(64))
+    return out.view(np.int64)
+
+
+def marks_fit(percent: int) -> Column:
+    """Whether two sets (n, rare, marks; n_b, rare_b, marks_b) can be similar by the marks of their rare-first prefixes.
+
+    Similar sets have ``least`` tokens in common, so either lacks at most n - least of the other's.  The prefix that ends
+    first under the common order lies, as far as it is in common, in the other prefix too; so ``both`` is the least number
+    of tokens both prefixes have, and each has at most rare - both others.
+    """
+    least = f"({percent} * (n + n_b) + {99 + percent}) div {100 + percent}"
+    both = f"({least} + least(rare - n, rare_b - n_b))"
+    lacks = " + ".join("bit_count(marks{0}[%d] & ~marks{1}[%d])" % (i, i) for i in range(MARKS))
+    sides = ((("", "_b"), "rare"), (("_b", ""), "rare_b"))
+    return F.expr(" and ".join(f"{lacks.format(*names)} + {both} <= {rare}" for names, rare in sides))
+
+
 def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(class, n, at, token): the rare-first prefix of every set (class, tokens).  Similar sets have a token of it in common."""
+    """(class, n, rare, marks, at, token): the rare-first prefix of every set (class, tokens), its size and marks.  Similar
+    sets have a token of it in common."""
     sent = sets.sparkSession.sparkContext.broadcast(commonness_in(sets))
 
     def work(batches):
         for batch in batches:
             found, sets = batch.column(0).to_pylist(), batch.column(1)
             cut = [prefixes(s.values.to_numpy().view(np.uint64), sent.value, percent, 1)[0].view(np.int64) for s in sets]
-            sizes = [len(s) for s in sets]
+            sizes, rare = [len(s) for s in sets], [len(c) for c in cut]
+            marked = [marks(c.view(np.uint64)) for c in cut]
+            long, longs = pa.int64(), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], ["class", "n", "prefix"]
+                [pa.array(c, k) for c, k in ((found, long), (sizes, long), (rare, long), (marked, longs), (cut, longs))],
+                ["class", "n", "rare", "marks", "prefix"],
             )
 
-    cut = sets.select("class", "tokens").mapInArrow(work, "class long, n long, prefix array<long>")
-    return cut.select("class", "n", F.posexplode("prefix").alias("at", "token"))
+    cut = sets.select("class", "tokens").mapInArrow(work, "class long, n long, rare long, marks array<long>, prefix array<long>")
+    return cut.select("class", "n", "rare", "marks", F.posexplode("prefix").alias("at", "token"))
 
 
 def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
@@ -132,16 +161,19 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
 
     spread = classes.select("class", "n", F.posexplode("bands").alias("i", "band"))
     buckets = spread.select(F.xxhash64("i", "band").alias("bucket"), "class", "n")
-    pivots = buckets.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min(F.struct("class", "n")).alias("p"), F.max(F.struct("n", "class")).alias("q"),
-        F.min(F.struct(F.xxhash64("bucket", "class").alias("any"), "class", "n")).alias("r"),
-    )
-    shared = stage(buckets.join(pivots.where("members > 1"), "bucket"), "shared")
+    crowds = buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("class").alias("p")).where("members > 1")
+    crowded = stage(buckets.join(crowds, "bucket"), "crowded")
+    weights = crowded.groupBy("class").agg(F.sum("members").alias("weight"))
+    centres = crowded.join(weights, "class").groupBy("bucket").agg(F.max(F.struct("weight", "class", "n")).alias("q"))
+    shared = stage(crowded.drop("members").join(centres, "bucket"), "shared")
+    discard(crowded)
     links: list[DataFrame] = []
 
+    def paired(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")).distinct()
+
     def link(pairs: DataFrame, name: str, known: DataFrame | None = None) -> bool:
-        """Estimate and verify candidate pairs (class, other), on sets already made if ``known``; whether any is linked."""
-        pairs = pairs.select(F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")).distinct()
+        """Estimate and verify candidate pairs (a, b), on sets already made if ``known``; whether any is linked."""
         likely = stage(estimated(pairs, classes, percent, bands), f"{name}-likely")
         if likely.isEmpty():
             return False
@@ -164,24 +196,23 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         still = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         return stage(members.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
 
-    # Each class with the lowest and the highest pivot of all its buckets: two pairs a class at most.
-    ends = shared.groupBy("class").agg(F.min("p").getField("class").alias("p"), F.max("q").getField("class").alias("q"))
-    link(ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other"), "ends")
+    # Each class with the lowest member and the greatest centre of all its buckets: two pairs a class at most.
+    ends = shared.groupBy("class").agg(F.min("p").alias("p"), F.max("q").getField("class").alias("q"))
+    ends = stage(paired(ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other")), "ends")
+    link(ends, "ends")
     label = labels()
 
-    # In buckets that still hold several components: each class with the bucket's lowest pivot and with one by hash, which is
-    # another one in most buckets.
+    # In buckets that still hold several components: each class with the bucket's centre.
     left = mixed(label)
-    pivot = F.explode(F.array(*(F.struct(f"{x}.class", f"{x}.n") for x in "pr"))).alias("pivot")
-    pairs = left.select("class", "n", "component", pivot).select("class", "n", "component", F.col("pivot.class").alias("other"), F.col("pivot.n").alias("n_b"))
+    pairs = left.select("class", "n", "component", F.col("q.class").alias("other"), F.col("q.n").alias("n_b"))
     pairs = pairs.where("class <> other").where(sizes_fit("n", "n_b", percent)).select("class", "other", "component").distinct()
     pairs = pairs.join(label.select(F.col("class").alias("other"), F.col("component").alias("c")), "other", "left")
-    if link(pairs.where("component <> coalesce(c, other)"), "pivots"):
+    if link(paired(pairs.where("component <> coalesce(c, other)")).join(ends, ["a", "b"], "left_anti"), "centres"):
         label = labels()
         left = mixed(label)
 
-    # What is left: members of such buckets, none of them a pivot, that share rare shingles early enough.
-    rest = left.where("class not in (p.class, r.class)")
+    # What is left: members of such buckets, none of them the centre, that share rare shingles early enough.
+    rest = left.where("class <> q.class")
     crowded = rest.groupBy("bucket").agg(F.count("*").alias("rest")).where("rest > 1").select("bucket")
     rest = stage(rest.join(crowded, "bucket", "left_semi").select("class", "component").distinct(), "rest")
     if not rest.isEmpty():
@@ -190,11 +221,11 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         lists = index.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         index = index.join(lists.select("token"), "token")
         before = F.lag("token").over(Window.partitionBy("class").orderBy("at"))
-        index = stage(index.select("class", "n", "at", "token", "component", before.alias("before")), "lists")
-        other = index.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "component", "before")))
-        met = index.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent))
+        index = stage(index.select("class", "n", "rare", "marks", "at", "token", "component", before.alias("before")), "lists")
+        other = index.select("token", *(F.col(c).alias(f"{c}_b") for c in index.columns if c != "token"))
+        met = index.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent) & marks_fit(percent))
         met = met.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
-        if link(met.select("class", F.col("class_b").alias("other")), "rest", sets):
+        if link(paired(met.select("class", F.col("class_b").alias("other"))), "rest", sets):
             label = labels()
 
     lowest = classes.select("class", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
