@@ -94,14 +94,14 @@ def sketches(documents: DataFrame, k: int, bands: int = BANDS) -> DataFrame:
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int, bands: int) -> DataFrame:
-    """The pairs (a, b), with sizes, whose collision-corrected estimate comes within MARGIN of the threshold."""
+    """The pairs (a, b, more columns), with sizes, whose collision-corrected estimate comes within MARGIN of the threshold."""
     for key in "ab":
         pairs = pairs.join(classes.select(F.col("class").alias(key), F.col("n").alias(f"n_{key}"), F.col("bands").alias(f"bands_{key}")), key)
     pairs = pairs.where(sizes_fit("n_a", "n_b", percent))
     equal = F.expr(f"aggregate(zip_with(bands_a, bands_b, (x, y) -> {LANES}), 0, (t, v) -> t + v)") / (4.0 * bands)
     # Two different minima of n and m values agree in zeros and mantissa with this probability.
     collide = F.expr(f"{0.5 / math.log(2) / (1 << MANTISSA)!r}D * n_a * n_b / ((n_a + n_b) * double(n_a + n_b))")
-    return pairs.where((equal - collide) / (1 - collide) >= percent / 100 - MARGIN).select("a", "b", "n_a", "n_b")
+    return pairs.where((equal - collide) / (1 - collide) >= percent / 100 - MARGIN).drop("bands_a", "bands_b")
 
 
 def marks(tokens: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         F.min(F.struct("doc_id", "whole")).alias("one"), F.min("doc_id").alias("lowest"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
     classes = stage(grouped.select(F.monotonically_increasing_id().alias("class"), "*").select("*", "one.*").drop("one"), "classes")
-    named = stage(rows.join(classes.select("digest", "class"), "digest", "left").select("doc_id", "whole", "n", "class"), "named")
+    named = stage(rows.select("doc_id", "whole", "n", "digest"), "named")
     discard(rows)
 
     spread = classes.select("class", "n", F.posexplode("bands").alias("i", "band"))
@@ -167,54 +167,54 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
     centres = crowded.join(weights, "class").groupBy("bucket").agg(F.max(F.struct("weight", "class", "n")).alias("q"))
     shared = stage(crowded.drop("members").join(centres, "bucket"), "shared")
     discard(crowded)
-    links: list[DataFrame] = []
+    label = classes.select("class", F.col("class").alias("component")).where("false")  # of linked classes, later
 
-    def paired(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")).distinct()
+    def paired(pairs: DataFrame, one: str, two: str) -> DataFrame:
+        """(a, b, hi, lo): the distinct pairs of class and other, and the components ``one`` and ``two`` of these."""
+        sides = F.greatest("class", "other").alias("a"), F.least("class", "other").alias("b")
+        return pairs.select(*sides, F.greatest(one, two).alias("hi"), F.least(one, two).alias("lo")).distinct()
 
     def link(pairs: DataFrame, name: str, known: DataFrame | None = None) -> bool:
-        """Estimate and verify candidate pairs (a, b), on sets already made if ``known``; whether any is linked."""
+        """Estimate and verify candidate pairs (a, b, hi, lo), on sets already made if ``known``, and join the components of
+        similar ones in ``label``; whether there are any."""
+        nonlocal label
         likely = stage(estimated(pairs, classes, percent, bands), f"{name}-likely")
         if likely.isEmpty():
             return False
         members = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         sets = stage(full_sets(documents, classes.join(members, "class"), k), f"{name}-sets") if known is None else known
-        links.append(stage(verified(likely, sets, percent), f"{name}-links"))
+        links = stage(verified(likely, sets, percent), f"{name}-links")
         discard(sets, likely)
-        return not links[-1].isEmpty()
-
-    def labels() -> DataFrame:
-        """(class, component) of linked classes."""
-        edges = documents.sparkSession.createDataFrame([], "a long, b long")
-        for found in links:
-            edges = edges.union(found)
-        return stage(components(edges), "labels").withColumnRenamed("node", "class")
+        if links.isEmpty():
+            return False
+        label = components(label.union(links.select("hi", "lo")).toDF("a", "b")).toDF("class", "component")
+        return True
 
-    def mixed(label: DataFrame) -> DataFrame:
-        """The members, with their components, of the buckets that hold several components."""
+    def mixed() -> DataFrame:
+        """The members, with their components, of the buckets that hold several components; also the component of the
+        bucket's centre, and how many other members there are."""
         members = shared.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        still = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return stage(members.join(still.where("lo <> hi").select("bucket"), "bucket"), "mixed")
+        centre = F.col("class") == F.col("q.class")
+        still = members.groupBy("bucket").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.when(centre, F.col("component"))).alias("centre"), F.count_if(~centre).alias("rest")
+        )
+        return stage(members.join(still.where("lo <> hi").drop("lo", "hi"), "bucket"), "mixed")
 
     # Each class with the lowest member and the greatest centre of all its buckets: two pairs a class at most.
     ends = shared.groupBy("class").agg(F.min("p").alias("p"), F.max("q").getField("class").alias("q"))
-    ends = stage(paired(ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other")), "ends")
+    ends = ends.select("class", F.explode(F.array("p", "q")).alias("other")).where("class <> other")
+    ends = stage(paired(ends, "class", "other"), "ends")
     link(ends, "ends")
-    label = labels()
 
     # In buckets that still hold several components: each class with the bucket's centre.
-    left = mixed(label)
-    pairs = left.select("class", "n", "component", F.col("q.class").alias("other"), F.col("q.n").alias("n_b"))
-    pairs = pairs.where("class <> other").where(sizes_fit("n", "n_b", percent)).select("class", "other", "component").distinct()
-    pairs = pairs.join(label.select(F.col("class").alias("other"), F.col("component").alias("c")), "other", "left")
-    if link(paired(pairs.where("component <> coalesce(c, other)")).join(ends, ["a", "b"], "left_anti"), "centres"):
-        label = labels()
-        left = mixed(label)
+    left = mixed()
+    pairs = left.where("class <> q.class and component <> centre").where(sizes_fit("n", "q.n", percent))
+    pairs = paired(pairs.select("class", F.col("q.class").alias("other"), "component", "centre"), "component", "centre")
+    if link(pairs.join(ends, ["a", "b"], "left_anti"), "centres"):
+        left = mixed()
 
     # What is left: members of such buckets, none of them the centre, that share rare shingles early enough.
-    rest = left.where("class <> q.class")
-    crowded = rest.groupBy("bucket").agg(F.count("*").alias("rest")).where("rest > 1").select("bucket")
-    rest = stage(rest.join(crowded, "bucket", "left_semi").select("class", "component").distinct(), "rest")
+    rest = stage(left.where("class <> q.class and rest > 1").select("class", "component").distinct(), "rest")
     if not rest.isEmpty():
         sets = stage(full_sets(documents, classes.join(rest, "class"), k), "rest-sets")
         index = stage(rare_shingles(sets, percent).join(rest, "class"), "rare-shingles")
@@ -225,13 +225,13 @@ def linked(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BAN
         other = index.select("token", *(F.col(c).alias(f"{c}_b") for c in index.columns if c != "token"))
         met = index.join(other, "token").where("class > class_b and component <> component_b").where(may_fit(percent) & marks_fit(percent))
         met = met.where("before <> before_b or before is null or before_b is null")  # a pair's first common token has no common one before
-        if link(paired(met.select("class", F.col("class_b").alias("other"))), "rest", sets):
-            label = labels()
+        met = met.select("class", F.col("class_b").alias("other"), "component", "component_b")
+        link(paired(met, "component", "component_b"), "rest", sets)
 
-    lowest = classes.select("class", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    lowest = classes.select("class", "digest", "lowest").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
     first = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    of_class = lowest.join(first, "component").select("class", "component", "component_id")
-    return named.join(of_class, "class", "left").drop("class")
+    of_class = lowest.join(first, "component").select("digest", "component", "component_id")
+    return named.join(of_class, "digest", "left").drop("digest")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:

@@ -174,11 +174,12 @@ def filtered(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) ->
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The pairs whose full sets are similar enough, without their sizes."""
+    kept = [c for c in pairs.columns if c not in ("n_a", "n_b")]
     for key in "ab":
         pairs = pairs.join(sets.select(F.col("class").alias(key), F.col("tokens").alias(f"tokens_{key}")), key)
     pairs = pairs.withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long"))
-    return pairs.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
+    return pairs.where(f"100 * common >= {percent} * (n_a + n_b - common)").select(kept)
 
 
 def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders: int = ORDERS) -> DataFrame:
@@ -228,7 +229,7 @@ def ngram_components(documents: DataFrame, k: int = 4, percent: int = 85, orders
         edges = documents.sparkSession.createDataFrame([], "a long, b long")
         for found in links:
             edges = edges.union(found)
-        return stage(components(edges), "labels").withColumnRenamed("node", "class")
+        return components(edges).withColumnRenamed("node", "class")
 
     def unsettled(label: DataFrame) -> DataFrame:
         """The members, with their components, of the posting lists that hold several components."""
