@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE, bounded_sample, slices, words_of
+from .common import bounded_sample, slices, words_of
 
 BUCKETS = 1 << 16  # of each of the two tables
 TRAIN_ROWS = 40_000  # bound of the labelled rows the classifier is fitted on
@@ -37,6 +36,7 @@ TOP = 10.0  # largest score of a token
 SIGNIFICANT = 0.5  # expected number of such segments in a clean document
 EDGE = b".,;:!?|*%$&#<>\"'()[]{}"  # trimmed from words
 LETTERS = (5, 4)
+WORDS = 1 << 17  # distinct words a worker remembers; beyond it the memory is cleared and filled again
 
 
 @dataclass(frozen=True)
@@ -62,12 +62,58 @@ class Cache(dict):
         self.make = make
 
     def __missing__(self, word):
-        if len(self) >= WORD_CACHE:
+        if len(self) >= WORDS:
             self.clear()
         value = self[word] = self.make(word)
         return value
 
 
+class Buckets(dict):
+    """Where the features of a word are counted, computed once per distinct word a worker meets.
+
+    A word stands for a row of ``found``, whose places after its last feature repeat the first one: remembering a word
+    takes its bytes and a few small numbers, no Python object for each bucket.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.found = np.empty((1 << 10, 2 * (1 + len(LETTERS))), np.int32)
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) == len(self.found):
+            self.found = np.concatenate([self.found, np.empty_like(self.found)])
+        row, places = len(self), [b for h in features(word) for b in (h % BUCKETS, BUCKETS + (h >> 32) % BUCKETS)]
+        self.found[row] = places[0]
+        self.found[row, : len(places)] = places
+        self[word] = row
+        return row
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The distinct buckets of a text's features."""
+        words, out = list(set(words_of(text))), []
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
+            if len(self) + len(some) > WORDS:
+                self.clear()
+            rows = np.fromiter(map(self.__getitem__, some), np.int64, len(some))
+            out.append(np.unique(self.found[rows]))
+        return np.unique(np.concatenate(out)) if len(out) > 1 else out[0] if out else np.empty(0, np.int32)
+
+
+def counted(batches):
+    """For each bucket with a document among ``batches`` (text, toxic): every, toxic and clean documents with it."""
+    where = Buckets()
+    counts = np.zeros((3, 2 * BUCKETS + 1), np.int64)  # the last column counts documents
+    for texts, toxic in slices(batches, 0):
+        for text, label in zip(texts, toxic, strict=True):
+            own = where.of(text)
+            for row in (0,) if label is None else (0, 1 if label else 2):
+                counts[row, own] += 1
+                counts[row, -1] += 1
+    used = np.flatnonzero(counts[0])
+    yield pa.RecordBatch.from_pydict({"bucket": used, "every": counts[0, used], "toxic": counts[1, used], "clean": counts[2, used]})
+
+
 def segments(places: list[int], scores: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last, score) of a sequence, in linear time.
 
@@ -124,24 +170,9 @@ def token_scores(documents: DataFrame, labelled: DataFrame) -> np.ndarray:
     """Scores of the features, by hashed table.  ``labelled``: a bounded set of (doc_id, toxic) rows."""
     marked = documents.select("doc_id", "text").join(F.broadcast(labelled), "doc_id", "left")
 
-    def count(batches):
-        where = Cache(lambda w: tuple(b for h in features(w) for b in (h % BUCKETS, BUCKETS + (h >> 32) % BUCKETS)))
-        counts = np.zeros((3, 2 * BUCKETS + 1), np.int64)  # the last column counts documents
-        for texts, toxic in slices(batches, 0):
-            hits: list[list[int]] = [[], [], []]
-            for text, label in zip(texts, toxic, strict=True):
-                own = set(chain.from_iterable(map(where.__getitem__, set(words_of(text)))))
-                for row in (0,) if label is None else (0, 1 if label else 2):
-                    hits[row].extend(own)
-                    counts[row, -1] += 1
-            for row, found in enumerate(hits):
-                counts[row, :-1] += np.bincount(np.array(found, np.int64), minlength=2 * BUCKETS)
-        used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_pydict({"bucket": used, "every": counts[0, used], "toxic": counts[1, used], "clean": counts[2, used]})
-
     rows = (
         marked.select("text", "toxic")
-        .mapInArrow(count, "bucket long, every long, toxic long, clean long")
+        .mapInArrow(counted, "bucket long, every long, toxic long, clean long")
         .groupBy("bucket")
         .agg(*(F.sum(c).alias(c) for c in ("every", "toxic", "clean")))
         .collect()  # at most 2 * BUCKETS + 1 rows
